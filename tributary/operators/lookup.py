@@ -12,12 +12,14 @@ from ..functions import sku_key, to_usd, utc_date
 BROADCAST_ROWS = 500_000
 
 
-def checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it holds at most ``max_rows`` rows, else unmarked.
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows; counts no further than that."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    The count stops at the first row over the bound.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+def checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it fits, else unmarked for a shuffled join."""
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def latest_rates(fx: DataFrame) -> DataFrame:

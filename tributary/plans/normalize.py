@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import clean_sku, dmy_to_utc, iso_to_utc, naive_to_utc, parse_int, parse_money
-from ..operators.lookup import apply_fx, checked, latest_rates, map_status
+from ..operators.lookup import apply_fx, checked, fits, latest_rates, map_status
 from ..operators.ordering import dedupe_by_key, drop_incomplete
 from .channels import LINE_ORDER, Channel
 
@@ -31,9 +31,12 @@ class Reference:
 
     @classmethod
     def of(cls, fx: DataFrame, statuses: DataFrame) -> Self:
+        rates = fx.select("currency", "rate_date", "rate_to_usd")
+        # The latest rates are no more rows than the rates.
+        small = fits(rates)
         return cls(
-            fx=checked(fx.select("currency", "rate_date", "rate_to_usd")),
-            latest_fx=checked(latest_rates(fx)),
+            fx=F.broadcast(rates) if small else rates,
+            latest_fx=F.broadcast(latest_rates(fx)) if small else checked(latest_rates(fx)),
             statuses=checked(statuses),
         )
 

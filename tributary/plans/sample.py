@@ -7,6 +7,13 @@ channels send them (currency signs, thousands separators, stray white space).
 
 from __future__ import annotations
 
+import io
+import uuid
+import zipfile
+from collections.abc import Iterator
+from xml.sax.saxutils import escape
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,12 +97,12 @@ def dressed_sku(channel: Column) -> Column:
     return (
         F.when(style == 0, plain)
         .when(style == 1, F.concat(F.lit("  "), F.lower(plain), F.lit(" ")))
-        .when(style == 2, F.concat(prefix, F.lit(" \t "), part, F.lit("\n")))
-        .otherwise(F.concat(F.lit(" "), F.upper(plain), F.lit(" ")))
+        .when(style == 2, F.concat(prefix, F.lit(" \t "), part, F.lit("\t")))
+        .otherwise(F.concat(F.lit("\u00a0"), F.upper(plain), F.lit("\u00a0")))
     )
 
 
-def money_text(amount: Column, sign: str = "$") -> Column:
+def money_text(amount: Column, sign: str = "") -> Column:
     return F.concat(F.lit(sign), F.format_number(amount.cast("decimal(14,2)"), 2))
 
 
@@ -127,7 +134,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their order and customer."""
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
         customers, orders.o_custkey == customers.c_custkey
     )
@@ -145,9 +152,9 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(line_wall_time(), F.lit("-05:00")).alias("order_dt_raw"),
         dressed_sku(channel).alias("platform_sku"),
         signed_quantity().cast("string").alias("quantity"),
-        money_text(price()).alias("unit_price_local"),
-        money_text(price() * F.col("l_discount").cast("decimal(4,2)")).alias("discount_local"),
-        money_text(price() * signed_quantity()).alias("line_total_local"),
+        money_text(price(), "$").alias("unit_price_local"),
+        money_text(price() * F.col("l_discount").cast("decimal(4,2)"), "$").alias("discount_local"),
+        money_text(price() * signed_quantity(), "$").alias("line_total_local"),
         currency_of(channel).alias("currency"),
         raw_status(channel).alias("raw_status"),
         line_raw_id().alias("raw_id"),
@@ -238,8 +245,8 @@ def raw_amazon(spark: SparkSession, sf_dir: str, channel: str | None = None) ->
         "product_name": F.concat(F.lit("Part "), F.col("l_partkey")),
         "quantity_purchased": signed_quantity().cast("string"),
         "currency": F.when(F.col("l_linestatus") == "F", "USD"),
-        "item_price": F.format_number(price(), 2),
-        "item_tax": F.format_number(price() * F.col("l_tax").cast("decimal(4,2)"), 2),
+        "item_price": money_text(price()),
+        "item_tax": money_text(price() * F.col("l_tax").cast("decimal(4,2)")),
         "shipping_price": F.lit("0.00"),
         "buyer_email": email(),
         "ship_city": F.lit(None).cast("string"),
@@ -261,9 +268,9 @@ def raw_tiendanube(spark: SparkSession, sf_dir: str, channel: str | None = None)
         "sku": dressed_sku(mine),
         "producto": F.concat(F.lit("Part "), F.col("l_partkey")),
         "cantidad": signed_quantity().cast("string"),
-        "precio_unit": F.concat(F.lit("S/ "), F.format_number(price(), 2)),
-        "descuento": F.format_number(price() * F.col("l_discount").cast("decimal(4,2)"), 2),
-        "subtotal": F.format_number(price() * signed_quantity(), 2),
+        "precio_unit": money_text(price(), "S/ "),
+        "descuento": money_text(price() * F.col("l_discount").cast("decimal(4,2)")),
+        "subtotal": money_text(price() * signed_quantity()),
         "moneda": F.when(F.col("l_linestatus") == "F", "PEN"),
     }
     lines = _only(order_lines(spark, sf_dir), channel).withColumns(columns)
@@ -381,3 +388,53 @@ RAW = {
     "tiendanube": raw_tiendanube,
     "pos": raw_pos,
 }
+
+
+# --- workbooks ---------------------------------------------------------------------
+
+MAIN_XML = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+OFFICE_XML = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+PACKAGE_XML = "http://schemas.openxmlformats.org/package/2006/relationships"
+
+
+def workbook_bytes(header: list[str], rows: list[tuple], sheet: str = "Ventas") -> bytes:
+    """A small workbook of one sheet; numbers as number cells, texts inline."""
+
+    def cell(value: object) -> str:
+        if value is None:
+            return "<c/>"
+        if isinstance(value, (int, float)):
+            return f"<c><v>{value}</v></c>"
+        text = escape(str(value))
+        return f'<c t="inlineStr"><is><t xml:space="preserve">{text}</t></is></c>'
+
+    lines = "".join(f"<row>{''.join(map(cell, row))}</row>" for row in [header, *rows])
+    parts = {
+        "xl/workbook.xml": f'<workbook xmlns="{MAIN_XML}" xmlns:r="{OFFICE_XML}"><sheets>'
+        f'<sheet name="{sheet}" sheetId="1" r:id="rId1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{PACKAGE_XML}">'
+        '<Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{MAIN_XML}"><sheetData>{lines}'
+        "</sheetData></worksheet>",
+    }
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as book:
+        for name, xml in parts.items():
+            book.writestr(name, xml)
+    return content.getvalue()
+
+
+def workbook_files(rows: DataFrame, headers: dict[str, str]) -> DataFrame:
+    """Rows packed into workbooks (``path``, ``content``), one per batch of a task."""
+    columns = list(headers.values())
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            cells = [
+                tuple(int(v) if v is not None and n == "cantidad" else v for n, v in zip(columns, row))
+                for row in batch.itertuples(index=False, name=None)
+            ]
+            content = workbook_bytes(list(headers), cells)
+            yield pd.DataFrame({"path": [f"{uuid.uuid4().hex}.xlsx"], "content": [content]})
+
+    return rows.select(*columns).mapInPandas(pack, "path string, content binary")
