@@ -85,6 +85,12 @@ def sku_lookup(mapping: DataFrame) -> DataFrame:
     )
 
 
+def checked_lookup(mapping: DataFrame) -> DataFrame:
+    """:func:`sku_lookup`, broadcast if the mapping, which is no smaller, fits."""
+    lookup = sku_lookup(mapping)
+    return F.broadcast(lookup) if fits(mapping) else lookup
+
+
 def mapping_conflicts(mapping: DataFrame) -> DataFrame:
     """Match keys that more than one mapping row claims."""
     return (

@@ -67,88 +67,104 @@ def _no_amount() -> Column:
 
 # --- JSON orders ---------------------------------------------------------------
 
-
-def field(document: Column | str, path: str, kind: str = "string") -> Column:
-    """A value of a parsed document; null when missing, null or of another type."""
-    return F.try_variant_get(document, path, kind)
-
-
-def is_missing(document: Column | str, path: str) -> Column:
-    return field(document, path, "variant").isNull()
+CORRUPT = "_corrupt"
+
+# The parts of the documents that are read. ``variant`` marks values of which a
+# missing key must be told from an explicit null.
+SHOPIFY_ORDER = (
+    "id string, created_at string, currency variant, financial_status string, "
+    "customer struct<email string>, line_items array<struct<id string, sku string, "
+    "title string, quantity string, price string, total_discount string, line_total string>>"
+)
+MERCADOLIBRE_ORDER = (
+    "id string, date_created string, currency_id variant, status string, "
+    "buyer struct<email string>, order_items array<struct<item struct<seller_sku string, "
+    f"title string>, quantity variant, unit_price {schemas.PARSED_AMOUNT}>>"
+)
 
 
-def is_null_value(document: Column | str, path: str) -> Column:
-    return F.is_variant_null(field(document, path, "variant"))
+def parse_order(shape: str) -> Column:
+    return F.from_json(
+        "payload", f"{shape}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
+    )
 
 
-def unless_given(document: Column | str, path: str, default: str | int, kind: str) -> Column:
-    """A value with a default for the missing key only; an explicit null stays null."""
-    given = field(document, path, kind)
-    return F.when(is_missing(document, path), F.lit(default).cast(kind)).otherwise(given)
+def unless_given(value: Column | str, default: str | int, kind: str) -> Column:
+    """A variant with a default for the missing key only; an explicit null stays null."""
+    given = F.col(value) if isinstance(value, str) else value
+    return F.when(given.isNull(), F.lit(default).cast(kind)).otherwise(
+        F.try_variant_get(given, "$", kind)
+    )
 
 
-def json_malformed(created_key: str, lines_key: str) -> Column:
+def json_malformed(shape: str, created_key: str, lines_key: str) -> Column:
+    """Why a document cannot be extracted, or null."""
     document = F.try_parse_json("payload")
+    lines = F.try_variant_get(document, f"$.{lines_key}", "variant")
+    as_array = F.try_variant_get(document, f"$.{lines_key}", "array<variant>")
     return F.coalesce(
         F.when(document.isNull(), "payload: not a JSON document"),
-        F.when(field(document, "$.id").isNull(), "id: missing"),
-        F.when(is_missing(document, f"$.{created_key}"), f"{created_key}: missing"),
+        F.when(F.try_variant_get(document, "$.id", "string").isNull(), "id: missing"),
         F.when(
-            ~is_missing(document, f"$.{lines_key}")
-            & field(document, f"$.{lines_key}", "array<variant>").isNull(),
-            f"{lines_key}: not an array",
+            F.try_variant_get(document, f"$.{created_key}", "string").isNull(),
+            f"{created_key}: missing",
+        ),
+        F.when(lines.isNotNull() & as_array.isNull(), f"{lines_key}: not an array"),
+        F.when(
+            parse_order(shape).getField(CORRUPT).isNotNull(), "payload: not an order document"
         ),
     )
 
 
-def explode_lines(raw: DataFrame, lines_key: str) -> DataFrame:
+def explode_lines(raw: DataFrame, shape: str, lines_key: str) -> DataFrame:
     """One row per line object (``line``) with its order (``doc``) and 0-based ``element``.
 
     Orders without lines yield no rows.
     """
-    parsed = raw.withColumn("doc", F.try_parse_json("payload"))
-    lines = field("doc", f"$.{lines_key}", "array<variant>")
-    return parsed.select(*INGEST_ORDER, "doc", F.posexplode(lines).alias("element", "line"))
+    parsed = raw.select(*INGEST_ORDER, parse_order(shape).alias("doc"))
+    return parsed.select(
+        *INGEST_ORDER, "doc", F.posexplode(f"doc.{lines_key}").alias("element", "line")
+    )
 
 
 def extract_shopify(raw: DataFrame) -> DataFrame:
-    return explode_lines(raw, "line_items").select(
+    return explode_lines(raw, SHOPIFY_ORDER, "line_items").select(
         *LINE_ORDER,
-        field("doc", "$.id").alias("platform_order_id"),
-        field("line", "$.id").alias("platform_line_id"),
-        field("doc", "$.created_at").alias("order_dt_raw"),
-        field("line", "$.sku").alias("platform_sku"),
-        field("line", "$.title").alias("product_name"),
-        field("line", "$.quantity").alias("quantity"),
-        field("line", "$.price").alias("unit_price_local"),
-        field("line", "$.total_discount").alias("discount_local"),
+        F.col("doc.id").alias("platform_order_id"),
+        F.col("line.id").alias("platform_line_id"),
+        F.col("doc.created_at").alias("order_dt_raw"),
+        F.col("line.sku").alias("platform_sku"),
+        F.col("line.title").alias("product_name"),
+        F.col("line.quantity").alias("quantity"),
+        F.col("line.price").alias("unit_price_local"),
+        F.col("line.total_discount").alias("discount_local"),
         _no_amount().alias("tax_local"),
-        field("line", "$.line_total").alias("line_total_local"),
-        unless_given("doc", "$.currency", "USD", "string").alias("currency"),
-        field("doc", "$.financial_status").alias("raw_status"),
-        field("doc", "$.customer.email").alias("customer_email"),
+        F.col("line.line_total").alias("line_total_local"),
+        unless_given("doc.currency", "USD", "string").alias("currency"),
+        F.col("doc.financial_status").alias("raw_status"),
+        F.col("doc.customer.email").alias("customer_email"),
     )
 
 
 def extract_mercadolibre(raw: DataFrame) -> DataFrame:
-    order_id = field("doc", "$.id")
-    quantity = unless_given("line", "$.quantity", 0, "decimal(18,4)")
-    price = F.coalesce(field("line", "$.unit_price", schemas.PARSED_AMOUNT), F.lit(0))
-    return explode_lines(raw, "order_items").select(
+    order_id = F.col("doc.id")
+    quantity = unless_given("line.quantity", 0, "decimal(18,4)")
+    price = F.coalesce("line.unit_price", F.lit(0))
+    return explode_lines(raw, MERCADOLIBRE_ORDER, "order_items").select(
         *LINE_ORDER,
         order_id.alias("platform_order_id"),
         F.concat(order_id, F.lit("-"), F.col("element") + 1).alias("platform_line_id"),
-        field("doc", "$.date_created").alias("order_dt_raw"),
-        field("line", "$.item.seller_sku").alias("platform_sku"),
-        field("line", "$.item.title").alias("product_name"),
+        F.col("doc.date_created").alias("order_dt_raw"),
+        F.col("line.item.seller_sku").alias("platform_sku"),
+        F.col("line.item.title").alias("product_name"),
         quantity.alias("quantity"),
         price.alias("unit_price_local"),
         F.lit(0).cast(schemas.PARSED_AMOUNT).alias("discount_local"),
         _no_amount().alias("tax_local"),
         F.round(price * quantity, 2).alias("line_total_local"),
-        unless_given("doc", "$.currency_id", "PEN", "string").alias("currency"),
-        field("doc", "$.status").alias("raw_status"),
-        field("doc", "$.buyer.email").alias("customer_email"),
+        unless_given("doc.currency_id", "PEN", "string").alias("currency"),
+        F.col("doc.status").alias("raw_status"),
+        F.col("doc.buyer.email").alias("customer_email"),
     )
 
 
@@ -238,7 +254,7 @@ SHOPIFY = Channel(
     raw_schema=schemas.JSON_ORDERS,
     read=lambda spark, path: drops.wrapped_json(spark, path, "orders"),
     extract=extract_shopify,
-    malformed=lambda: json_malformed("created_at", "line_items"),
+    malformed=lambda: json_malformed(SHOPIFY_ORDER, "created_at", "line_items"),
 )
 MERCADOLIBRE = Channel(
     name="mercadolibre",
@@ -248,7 +264,7 @@ MERCADOLIBRE = Channel(
     raw_schema=schemas.JSON_ORDERS,
     read=lambda spark, path: drops.wrapped_json(spark, path, "results"),
     extract=extract_mercadolibre,
-    malformed=lambda: json_malformed("date_created", "order_items"),
+    malformed=lambda: json_malformed(MERCADOLIBRE_ORDER, "date_created", "order_items"),
 )
 AMAZON = Channel(
     name="amazon",

@@ -31,11 +31,11 @@ from ..operators.lookup import (
     apply_fx,
     attach_canonical,
     checked,
+    checked_lookup,
     latest_rates,
     map_status,
     mapping_conflicts,
     sku_coverage,
-    sku_lookup,
     unmapped_skus,
     unmapped_totals,
 )
@@ -47,7 +47,7 @@ from ..sources import drops, landing
 from ..sources.workbook import decode_workbooks
 from ..streaming.incremental import append_new_files, file_stream, upsert_new_files
 from . import channels, daily, sample, warehouse
-from .normalize import LINE_KEY, MONEY, REQUIRED, Reference, normalize, typed
+from .normalize import REQUIRED, Reference, normalize, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,9 +84,7 @@ def reference(spark: SparkSession, sf_dir: str) -> Reference:
     return Reference.of(sample.fx_rates(spark, sf_dir), warehouse.status_seed(spark))
 
 
-def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sample lines, parsed, before the dedupe."""
-    lines = sample.sales_lines(spark, sf_dir)
+def parsed(lines: DataFrame) -> DataFrame:
     return lines.withColumns(
         {
             "platform_sku": clean_sku(F.col("platform_sku")),
@@ -99,12 +97,15 @@ def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sample lines, parsed, before the dedupe."""
+    return parsed(sample.sales_lines(spark, sf_dir))
+
+
 def staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sample lines as staging rows."""
-    lines = drop_incomplete(
-        dedupe_by_key(cleaned_lines(spark, sf_dir), schemas.NATURAL_KEY, ["raw_id"]), REQUIRED
-    )
-    return typed(_converted(spark, sf_dir, lines))
+    newest = parsed(sample.sales_lines(spark, sf_dir, newest_only=True))
+    return typed(_converted(spark, sf_dir, drop_incomplete(newest, REQUIRED)))
 
 
 def _converted(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
@@ -128,7 +129,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checked(sku_lookup(mapping(spark, sf_dir)))
+    return checked_lookup(mapping(spark, sf_dir))
 
 
 def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,13 +368,15 @@ def fx_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def status_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    channel = sample.channel_of(F.col("o_orderpriority"))
-    orders = sample.table(spark, sf_dir, "orders").select(
+    orders = sample.table(spark, sf_dir, "orders").withColumn(
+        "source_platform", sample.channel_of(F.col("o_orderpriority"))
+    )
+    rows = orders.select(
         "o_orderkey",
-        channel.alias("source_platform"),
-        sample.raw_status(channel).alias("raw_status"),
+        "source_platform",
+        sample.raw_status(F.col("source_platform")).alias("raw_status"),
     )
-    return map_status(orders, checked(warehouse.status_seed(spark)))
+    return map_status(rows, checked(warehouse.status_seed(spark)))
 
 
 @query
@@ -500,11 +503,11 @@ def json_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.to_json(F.struct(F.substring("o_orderpriority", 1, 1).alias("currency"))))
         .alias("payload"),
     )
-    parsed = documents.withColumn("doc", F.try_parse_json("payload"))
+    parsed = documents.withColumn("doc", F.from_json("payload", "currency variant"))
     return parsed.select(
         "o_orderkey",
-        channels.unless_given("doc", "$.currency", "USD", "string").alias("currency"),
-        channels.is_missing("doc", "$.currency").alias("missing"),
+        channels.unless_given("doc.currency", "USD", "string").alias("currency"),
+        F.col("doc.currency").isNull().alias("missing"),
     )
 
 
@@ -661,10 +664,12 @@ FACT_VALUES = ["platform_sku", "quantity", "unit_price_local", "line_total_local
 def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Finished lines first, open lines second; many keys are in both."""
     lines = sample.table(spark, sf_dir, "lineitem")
-    orders = sample.table(spark, sf_dir, "orders")
-    channel = sample.channel_of(F.col("o_orderpriority"))
+    orders = sample.table(spark, sf_dir, "orders").withColumn(
+        "source_platform", sample.channel_of(F.col("o_orderpriority"))
+    )
+    channel = F.col("source_platform")
     rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        channel.alias("source_platform"),
+        "source_platform",
         F.col("l_orderkey").cast("string").alias("platform_order_id"),
         F.col("l_linenumber").cast("string").alias("platform_line_id"),
         F.when(F.col("l_returnflag") != "A", clean_sku(sample.dressed_sku(channel))).alias(

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.ordering import dedupe_by_key
 from ..sources.landing import LANDING
 
 # Channel by order priority, and how the channel words a paid and a pending order.
@@ -140,13 +141,20 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines of all channels in the extraction contract, texts still dressed."""
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    channel = channel_of(F.col("o_orderpriority"))
+def sales_lines(spark: SparkSession, sf_dir: str, newest_only: bool = False) -> DataFrame:
+    """All lines of all channels in the extraction contract, texts still dressed.
+
+    ``newest_only`` keeps the last landed row of every line.
+    """
+    lines = table(spark, sf_dir, "lineitem").withColumn("raw_id", line_raw_id())
+    if newest_only:
+        lines = dedupe_by_key(lines, ["l_orderkey", "l_linenumber"], ["raw_id"])
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "source_platform", channel_of(F.col("o_orderpriority"))
+    )
+    channel = F.col("source_platform")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        channel.alias("source_platform"),
+        "source_platform",
         F.col("l_orderkey").cast("string").alias("platform_order_id"),
         F.col("l_linenumber").cast("string").alias("platform_line_id"),
         F.concat(line_wall_time(), F.lit("-05:00")).alias("order_dt_raw"),
@@ -157,7 +165,7 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         money_text(price() * signed_quantity(), "$").alias("line_total_local"),
         currency_of(channel).alias("currency"),
         raw_status(channel).alias("raw_status"),
-        line_raw_id().alias("raw_id"),
+        "raw_id",
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import utc_date
+from ..literals import literal_table
 from ..operators.lookup import attach_canonical
 from ..operators.reshape import calendar
 from .channels import CHANNELS, Channel
@@ -44,14 +45,14 @@ CALENDAR_FIRST, CALENDAR_LAST = "2024-01-01", "2028-12-31"
 
 
 def status_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(STATUS_ROWS, schemas.STATUS_MAPPING)
+    return literal_table(spark, STATUS_ROWS, schemas.STATUS_MAPPING)
 
 
 def platform_seed(spark: SparkSession, channels: Iterable[Channel] | None = None) -> DataFrame:
     """One row per registered channel, numbered in order of registration."""
     listed = CHANNELS.values() if channels is None else channels
     rows = [(i, c.name, c.label, c.kind, True) for i, c in enumerate(listed, start=1)]
-    return spark.createDataFrame(rows, schemas.DIM_PLATFORM)
+    return literal_table(spark, rows, schemas.DIM_PLATFORM)
 
 
 def dim_date(

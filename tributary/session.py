@@ -12,7 +12,7 @@ REQUIRED = {"spark.sql.session.timeZone": "UTC"}
 
 # Runtime re-planning: shuffle partitions are coalesced, and a partition that a
 # hot key inflates is split, also where the split costs one more shuffle.
-ADAPTIVE = {
+RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -22,7 +22,7 @@ ADAPTIVE = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session made elsewhere."""
-    for key, value in {**REQUIRED, **ADAPTIVE}.items():
+    for key, value in {**REQUIRED, **RUNTIME}.items():
         spark.conf.set(key, value)
     return spark
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..literals import literal_table
 
 log = logging.getLogger(__name__)
 
@@ -74,7 +75,7 @@ def present_or_empty(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         log.warning("drop not found, nothing to ingest: %s", error.getMessageParameters())
-        return spark.createDataFrame([], T.StructType([*schema.fields, *POSITION.fields]))
+        return literal_table(spark, [], T.StructType([*schema.fields, *POSITION.fields]))
 
 
 def wrapped_json(spark: SparkSession, path: str, wrapper: str) -> DataFrame:

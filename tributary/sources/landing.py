@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..literals import literal_table
 from .drops import POSITION
 
 LANDING = schemas.struct(schemas.LANDING_COLUMNS)
@@ -40,7 +41,7 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        return literal_table(spark, [], full)
 
 
 def last_raw_id(spark: SparkSession, path: str, before_batch: int) -> int:
