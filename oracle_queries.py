@@ -389,6 +389,17 @@ QUERIES: dict[str, str] = {
     "lima_instants": f"""SELECT event_id, CASE WHEN event_type <> 'error'
         THEN {stamp("ts + INTERVAL 5 HOUR")} END AS from_text,
       CAST(ts + INTERVAL 5 HOUR AS VARCHAR) AS from_time FROM events""",
+    "new_york_instants": f"""WITH t AS (SELECT *, l_shipdate
+          + to_minutes(30 * ((l_partkey % 24) * 2 + l_suppkey % 2)) AS wall FROM lineitem),
+        y AS (SELECT *, make_date(year(wall), 4, 1) AS apr, make_date(year(wall), 10, 31) AS oct FROM t),
+        c AS (SELECT *, CAST(apr + CAST((7 - isodow(apr)) % 7 AS INT) AS TIMESTAMP) AS spring,
+          CAST(oct - CAST(isodow(oct) % 7 AS INT) AS TIMESTAMP) AS fall FROM y)
+      SELECT {LINE_ID}, CASE
+        WHEN wall >= spring + INTERVAL 2 HOUR AND wall < spring + INTERVAL 3 HOUR THEN NULL
+        WHEN wall >= fall + INTERVAL 1 HOUR AND wall < fall + INTERVAL 2 HOUR THEN NULL
+        WHEN wall >= spring AND wall < fall + INTERVAL 1 HOUR AND wall >= spring + INTERVAL 3 HOUR
+          THEN {stamp("wall + INTERVAL 4 HOUR")}
+        ELSE {stamp("wall + INTERVAL 5 HOUR")} END AS instant FROM c""",
     "dmy_instants": f"""SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 2
       THEN {stamp("o_orderdate + INTERVAL 5 HOUR")} END AS instant FROM orders""",
     "calendar_of_shipping": f"""SELECT {LINE_ID}, {calendar_parts("CAST(l_shipdate AS DATE)")}

@@ -16,7 +16,9 @@ def parse_money(amount: Column, decimal_sep: str = ".") -> Column:
     """
     kept = F.regexp_replace(amount.cast("string"), r"[^\p{Nd}.,-]", "")
     plain = F.translate(kept, ",.", ".") if decimal_sep == "," else F.translate(kept, ",", "")
-    return plain.try_cast(PARSED_AMOUNT)
+    # Digits of other scripts are kept above, but do not make a number.
+    ascii_only = F.octet_length(plain) == F.char_length(plain)
+    return F.when(ascii_only, plain.try_cast(PARSED_AMOUNT))
 
 
 def parse_int(number: Column) -> Column:

@@ -78,12 +78,12 @@ def clean(df: DataFrame, channel: Channel) -> DataFrame:
     return channel.post_clean(cleaned) if channel.post_clean else cleaned
 
 
-def newest_lines(extracted: DataFrame) -> DataFrame:
-    """Keep the newest row of every line.
+def newest_lines(df: DataFrame) -> DataFrame:
+    """Keep the newest row of a line, then drop what lacks time or quantity.
 
-    Runs on the raw texts, so that only the rows that stay are parsed.
+    In this order a newer broken row hides an older good one.
     """
-    return dedupe_by_key(extracted, LINE_KEY, LINE_ORDER)
+    return drop_incomplete(dedupe_by_key(df, LINE_KEY, LINE_ORDER), REQUIRED)
 
 
 def refusal(df: DataFrame) -> Column:
@@ -109,16 +109,15 @@ def typed(df: DataFrame) -> DataFrame:
 
 
 def prepare(raw: DataFrame, channel: Channel, reference: Reference) -> DataFrame:
-    """Extract, dedupe, clean and convert the rows of a channel; not yet typed.
+    """Extract, clean, dedupe and convert the rows of a channel; not yet typed.
 
-    Rows without time or quantity go after the dedupe, so a newer broken row
-    hides an older good one. The lookups neither add nor drop rows. A malformed
-    document yields no lines, or lines without key or time; :func:`malformed`
-    names it.
+    Texts are parsed below the dedupe: a filter on parsed values cannot move below
+    it, so that nothing is parsed twice. The lookups come after it, see fewer rows
+    and neither add nor drop any. A malformed document yields no lines, or lines
+    without key or time; :func:`malformed` names it.
     """
-    lines = clean(newest_lines(channel.extract(raw)), channel)
-    complete = drop_incomplete(lines, REQUIRED)
-    return map_status(apply_fx(complete, reference.fx, reference.latest_fx), reference.statuses)
+    lines = newest_lines(clean(channel.extract(raw), channel))
+    return map_status(apply_fx(lines, reference.fx, reference.latest_fx), reference.statuses)
 
 
 def normalize(raw: DataFrame, channel: Channel, reference: Reference) -> DataFrame:

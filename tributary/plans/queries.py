@@ -104,7 +104,8 @@ def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sample lines as staging rows."""
-    newest = parsed(sample.sales_lines(spark, sf_dir, newest_only=True))
+    key = ["platform_order_id", "platform_line_id", "source_platform"]
+    newest = dedupe_by_key(cleaned_lines(spark, sf_dir), key, ["raw_id"])
     return typed(_converted(spark, sf_dir, drop_incomplete(newest, REQUIRED)))
 
 
@@ -188,7 +189,7 @@ def top_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.table(spark, sf_dir, "lineitem").withColumn("raw_id", sample.line_raw_id())
+    return sample.lineitem(spark, sf_dir).withColumn("raw_id", sample.line_raw_id())
 
 
 LINE_ID = ["l_orderkey", "l_linenumber", "raw_id"]
@@ -316,7 +317,7 @@ def rows_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def staging_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text columns forced into the staging types."""
-    lines = sample.table(spark, sf_dir, "lineitem")
+    lines = sample.lineitem(spark, sf_dir)
     text = {f.name: F.lit(None).cast("string") for f in schemas.STAGING}
     text |= {
         "platform_order_id": F.col("l_orderkey").cast("string"),
@@ -467,7 +468,7 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all distinct lines: one each, all above the start."""
     start = 1_000
     key = ["l_orderkey", "l_linenumber"]
-    rows = sample.table(spark, sf_dir, "lineitem").select(*key).distinct()
+    rows = sample.lineitem(spark, sf_dir).select(*key).distinct()
     ids = surrogate_ids(rows, key, start, 16, "sale_id")
     return ids.agg(
         F.count("*").alias("row_count"),
@@ -663,7 +664,7 @@ FACT_VALUES = ["platform_sku", "quantity", "unit_price_local", "line_total_local
 
 def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Finished lines first, open lines second; many keys are in both."""
-    lines = sample.table(spark, sf_dir, "lineitem")
+    lines = sample.lineitem(spark, sf_dir)
     orders = sample.table(spark, sf_dir, "orders").withColumn(
         "source_platform", sample.channel_of(F.col("o_orderpriority"))
     )
@@ -732,7 +733,7 @@ def reference_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order days stay, ship days are added where absent."""
     orders = sample.table(spark, sf_dir, "orders")
-    lines = sample.table(spark, sf_dir, "lineitem")
+    lines = sample.lineitem(spark, sf_dir)
     known = orders.select(F.to_date("o_orderdate").alias("date_id")).distinct()
     known = known.withColumn("origin", F.lit("order"))
     shipped = lines.select(F.to_date("l_shipdate").alias("date_id")).distinct()
@@ -766,7 +767,7 @@ def checkpoint_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unmapped_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unmapped SKUs of finished lines, then of open ones; counts add up, first seen stays."""
     sku = F.concat(F.when(F.col("l_returnflag") == "R", "pos ").otherwise("POS "), F.col("l_partkey"))
-    lines = sample.table(spark, sf_dir, "lineitem").select(
+    lines = sample.lineitem(spark, sf_dir).select(
         F.lit("pos").alias("source_platform"), sku.alias("platform_sku"), "l_linestatus"
     )
     enriched = attach_canonical(lines, lookup(spark, sf_dir))

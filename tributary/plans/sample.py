@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.ordering import dedupe_by_key
 from ..sources.landing import LANDING
 
 # Channel by order priority, and how the channel words a paid and a pending order.
@@ -59,6 +58,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line table, spread over the cores if it comes in fewer splits than those.
+
+    A table written as one row group is one split however large it is; a table of
+    many splits is left alone.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+
+
 def by_channel(channel: Column, values: dict[str, str]) -> Column:
     chosen = F.lit(None).cast("string")
     for name, value in values.items():
@@ -133,7 +143,7 @@ def email() -> Column:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their order and customer."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = lineitem(spark, sf_dir)
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
@@ -141,14 +151,9 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales_lines(spark: SparkSession, sf_dir: str, newest_only: bool = False) -> DataFrame:
-    """All lines of all channels in the extraction contract, texts still dressed.
-
-    ``newest_only`` keeps the last landed row of every line.
-    """
-    lines = table(spark, sf_dir, "lineitem").withColumn("raw_id", line_raw_id())
-    if newest_only:
-        lines = dedupe_by_key(lines, ["l_orderkey", "l_linenumber"], ["raw_id"])
+def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of all channels in the extraction contract, texts still dressed."""
+    lines = lineitem(spark, sf_dir)
     orders = table(spark, sf_dir, "orders").withColumn(
         "source_platform", channel_of(F.col("o_orderpriority"))
     )
@@ -165,7 +170,7 @@ def sales_lines(spark: SparkSession, sf_dir: str, newest_only: bool = False) ->
         money_text(price() * signed_quantity(), "$").alias("line_total_local"),
         currency_of(channel).alias("currency"),
         raw_status(channel).alias("raw_status"),
-        "raw_id",
+        line_raw_id().alias("raw_id"),
     )
 
 
