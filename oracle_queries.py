@@ -355,6 +355,7 @@ EVENT_ROWS = "SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, v
 
 QUERIES: dict[str, str] = {
     "revenue_monthly": f"WITH {LINE_STAGING}, {FACTS} {REVENUE}",
+    "revenue_monthly_many_products": f"WITH {LINE_STAGING}, {FACTS} {REVENUE}",
     "sales_wide": f"""WITH {LINE_STAGING}, {FACTS}
       SELECT {stamp("order_dt_utc")} AS order_dt_utc, CAST(date_id AS VARCHAR) AS date_id,
         CAST(year(date_id) AS BIGINT) AS year, CAST(quarter(date_id) AS BIGINT) AS quarter,

@@ -86,7 +86,7 @@ def newest_lines(df: DataFrame) -> DataFrame:
     return drop_incomplete(dedupe_by_key(df, LINE_KEY, LINE_ORDER), REQUIRED)
 
 
-def refusal(df: DataFrame) -> Column:
+def refusal(prepared: DataFrame) -> Column:
     """Why a row cannot be stored in staging; null for a row that can."""
     reasons = [
         F.when(F.col(key).isNull(), F.lit(f"{key}: missing")) for key in LINE_KEY
@@ -120,16 +120,18 @@ def prepare(raw: DataFrame, channel: Channel, reference: Reference) -> DataFrame
     return map_status(apply_fx(lines, reference.fx, reference.latest_fx), reference.statuses)
 
 
-def normalize(raw: DataFrame, channel: Channel, reference: Reference) -> DataFrame:
-    """The staging rows of a channel."""
+def judged(raw: DataFrame, channel: Channel, reference: Reference) -> DataFrame:
+    """All lines of a channel in staging types, with the ``refusal`` of those that do not fit."""
     prepared = prepare(raw, channel, reference)
-    return typed(prepared.where(refusal(prepared).isNull()))
+    return prepared.select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.STAGING],
+        refusal(prepared).alias("refusal"),
+    )
 
 
-def refused(raw: DataFrame, channel: Channel, reference: Reference) -> DataFrame:
-    """Lines that were extracted but cannot be stored, with the reason."""
-    prepared = prepare(raw, channel, reference)
-    return prepared.withColumn("reason", refusal(prepared)).where("reason IS NOT NULL")
+def normalize(raw: DataFrame, channel: Channel, reference: Reference) -> DataFrame:
+    """The staging rows of a channel."""
+    return judged(raw, channel, reference).where("refusal IS NULL").drop("refusal")
 
 
 def malformed(raw: DataFrame, channel: Channel) -> DataFrame:

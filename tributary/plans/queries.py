@@ -32,6 +32,7 @@ from ..operators.lookup import (
     attach_canonical,
     checked,
     checked_lookup,
+    fits,
     latest_rates,
     map_status,
     mapping_conflicts,
@@ -139,12 +140,11 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return F.broadcast(warehouse.dim_date_for(orders, F.to_date("o_orderdate")))
 
 
-def facts(spark: SparkSession, sf_dir: str, staging: DataFrame) -> DataFrame:
+def facts(
+    spark: SparkSession, sf_dir: str, staging: DataFrame, parts: DataFrame
+) -> DataFrame:
     return warehouse.fact_rows(
-        staging,
-        warehouse.platform_seed(spark),
-        lookup(spark, sf_dir),
-        products(spark, sf_dir),
+        staging, warehouse.platform_seed(spark), lookup(spark, sf_dir), parts
     )
 
 
@@ -153,24 +153,42 @@ def facts(spark: SparkSession, sf_dir: str, staging: DataFrame) -> DataFrame:
 
 @query
 def revenue_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = sample.dim_product(spark, sf_dir)
+    small = fits(parts)
+    parts = F.broadcast(parts) if small else parts
+    return warehouse.revenue_monthly(
+        facts(spark, sf_dir, staged_lines(spark, sf_dir), parts),
+        warehouse.platform_seed(spark),
+        parts,
+        dates(spark, sf_dir),
+        many_products=not small,
+    )
+
+
+@query
+def revenue_monthly_many_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report by the way taken when the product table cannot be broadcast."""
+    parts = sample.dim_product(spark, sf_dir)
     return warehouse.revenue_monthly(
-        facts(spark, sf_dir, staged_lines(spark, sf_dir)),
+        facts(spark, sf_dir, staged_lines(spark, sf_dir), parts),
         warehouse.platform_seed(spark),
-        products(spark, sf_dir),
+        parts,
         dates(spark, sf_dir),
+        many_products=True,
     )
 
 
 @query
 def sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = facts(spark, sf_dir, staged_lines(spark, sf_dir)).withColumns(
+    parts = products(spark, sf_dir)
+    rows = facts(spark, sf_dir, staged_lines(spark, sf_dir), parts).withColumns(
         {
             "sale_id": F.lit(None).cast("bigint"),
             "loaded_at": F.lit(None).cast("timestamp"),
         }
     )
     return warehouse.sales_wide(
-        rows, warehouse.platform_seed(spark), products(spark, sf_dir), dates(spark, sf_dir)
+        rows, warehouse.platform_seed(spark), parts, dates(spark, sf_dir)
     ).drop("sale_id", "loaded_at")
 
 
@@ -563,7 +581,8 @@ def all_channels_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging of the five channels as fact rows."""
-    return facts(spark, sf_dir, all_channels(spark, sf_dir)).drop("tax_local")
+    parts = products(spark, sf_dir)
+    return facts(spark, sf_dir, all_channels(spark, sf_dir), parts).drop("tax_local")
 
 
 @query

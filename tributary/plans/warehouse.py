@@ -98,15 +98,14 @@ def outside_calendar(facts: DataFrame, dates: DataFrame) -> DataFrame:
     return facts.join(dates.select("date_id"), "date_id", "left_anti")
 
 
-def _with_dimensions(
-    facts: DataFrame, platforms: DataFrame, products: DataFrame, dates: DataFrame
-) -> DataFrame:
+def _dated(facts: DataFrame, platforms: DataFrame, dates: DataFrame) -> DataFrame:
     platform = platforms.select("platform_id", "platform_code", "platform_name", "platform_type")
-    product = products.select("product_id", "product_name", "category")
-    return (
-        facts.join(F.broadcast(platform), "platform_id", "inner")
-        .join(dates, "date_id", "inner")
-        .join(product, "product_id", "left")
+    return facts.join(F.broadcast(platform), "platform_id", "inner").join(dates, "date_id", "inner")
+
+
+def _with_product(rows: DataFrame, products: DataFrame) -> DataFrame:
+    return rows.join(
+        products.select("product_id", "product_name", "category"), "product_id", "left"
     )
 
 
@@ -114,7 +113,7 @@ def sales_wide(
     facts: DataFrame, platforms: DataFrame, products: DataFrame, dates: DataFrame
 ) -> DataFrame:
     """The wide sales view: every fact with its dimension attributes."""
-    return _with_dimensions(facts, platforms, products, dates).select(
+    return _with_product(_dated(facts, platforms, dates), products).select(
         "sale_id", "order_dt_utc", "date_id",
         "year", "quarter", "month", "month_name", "day_name", "is_weekend",
         "platform_code", "platform_name", "platform_type",
@@ -127,31 +126,34 @@ def sales_wide(
 
 
 def revenue_monthly(
-    facts: DataFrame, platforms: DataFrame, products: DataFrame, dates: DataFrame
+    facts: DataFrame,
+    platforms: DataFrame,
+    products: DataFrame,
+    dates: DataFrame,
+    many_products: bool = False,
 ) -> DataFrame:
     """Paid revenue by month, channel and category.
 
-    Facts are first summed by their dimension keys, so that the dimension joins
-    and the second sum work on few rows however large the fact table is.
+    With a broadcast product table the facts are joined where they are read, and
+    only one partial sum per group and task is shuffled. ``many_products`` is for
+    a product table that does not fit: facts are first summed by month and
+    product, which also shrinks the facts without a product, one hot null key.
     """
-    per_key = (
-        facts.where(F.col("order_status") == "paid")
-        .groupBy("platform_id", "date_id", "product_id")
-        .agg(
-            F.count("*").alias("_lines"),
-            F.sum("quantity").alias("_units"),
-            F.sum("line_total_usd").alias("_usd"),
-        )
+    month = ["year", "month", "month_name", "platform_name"]
+    rows = _dated(facts.where(F.col("order_status") == "paid"), platforms, dates).select(
+        *month,
+        "product_id",
+        F.lit(1).cast("bigint").alias("_lines"),
+        F.col("quantity").cast("bigint").alias("_units"),
+        F.col("line_total_usd").alias("_usd"),
     )
+    measures = ["_lines", "_units", "_usd"]
+    if many_products:
+        rows = rows.groupBy(*month, "product_id").agg(*[F.sum(m).alias(m) for m in measures])
+    category = F.coalesce("category", F.lit(NO_CATEGORY)).alias("category")
     return (
-        _with_dimensions(per_key, platforms, products, dates)
-        .groupBy(
-            "year",
-            "month",
-            "month_name",
-            "platform_name",
-            F.coalesce("category", F.lit(NO_CATEGORY)).alias("category"),
-        )
+        _with_product(rows, products)
+        .groupBy(*month, category)
         .agg(
             F.sum("_lines").alias("line_items"),
             F.sum("_units").alias("units"),

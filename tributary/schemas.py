@@ -67,6 +67,9 @@ STAGING = struct(
     f"line_total_usd {AMOUNT}, order_status string, customer_email string, raw_id bigint"
 )
 
+# Staging as stored: rows that do not fit the types above say why.
+STAGED_SALES = T.StructType([*STAGING.fields, T.StructField("refusal", T.StringType())])
+
 NATURAL_KEY = ["source_platform", "platform_order_id", "platform_line_id"]
 
 FX_RATES = struct(f"currency string, rate_date date, rate_to_usd {RATE}")
