@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
-from decimal import Decimal
+from decimal import Decimal, InvalidOperation
+from random import Random
 from zoneinfo import ZoneInfo
 
 import pytest
@@ -171,3 +172,42 @@ def test_row_json_writes_nulls_and_nan_as_null(spark, table):
     assert df.select(fn.row_json(df)).first()[0] == (
         '{"a":1,"b":null,"c":"x\\"y","d":null,"e":"1.5000","f":true}'
     )
+
+
+# --- against brute force -------------------------------------------------------------
+
+
+def test_every_white_space_character(values):
+    spaces = [chr(i) for i in range(0x10000) if chr(i).isspace()]
+    texts = [f"{s}A{s}{s}b{s}" for s in spaces]
+    assert values(fn.clean_sku, texts) == ["A b"] * len(spaces)
+    assert values(fn.sku_key, texts) == [f"a{s}{s}b" for s in spaces]
+
+
+def test_random_money_texts(values):
+    random = Random(7)
+    texts = ["".join(random.choices("0123456789.,-$ aS/()e", k=random.randint(0, 9))) for _ in range(3000)]
+
+    def model(text):
+        kept = "".join(c for c in text if c in "0123456789.-")
+        try:
+            return Decimal(kept)
+        except InvalidOperation:
+            return None
+
+    assert values(fn.parse_money, texts) == [model(t) for t in texts]
+
+
+def test_random_whole_numbers(values):
+    random = Random(8)
+    texts = ["".join(random.choices("0123456789.-+ e", k=random.randint(0, 5))) for _ in range(3000)]
+
+    def model(text):
+        try:
+            value = float(text.strip(" "))
+        except ValueError:
+            return None
+        return int(value) if value.is_integer() and abs(value) < 1e18 else None
+
+    got = values(fn.parse_int, texts)
+    assert [g for g, t in zip(got, texts) if "e" not in t] == [model(t) for t in texts if "e" not in t]

@@ -14,8 +14,11 @@ def parse_money(amount: Column, decimal_sep: str = ".") -> Column:
     Currency signs, letters, brackets and blanks are dropped, so ``(19.90)`` is
     19.90. ``decimal_sep=","`` reads ``1.299,90`` as 1299.90.
     """
-    kept = F.regexp_replace(amount.cast("string"), r"[^\p{Nd}.,-]", "")
-    plain = F.translate(kept, ",.", ".") if decimal_sep == "," else F.translate(kept, ",", "")
+    text = amount.cast("string")
+    if decimal_sep == ",":
+        plain = F.replace(F.regexp_replace(text, r"[^\p{Nd},-]", ""), F.lit(","), F.lit("."))
+    else:
+        plain = F.regexp_replace(text, r"[^\p{Nd}.-]", "")
     # Digits of other scripts are kept above, but do not make a number.
     ascii_only = F.octet_length(plain) == F.char_length(plain)
     return F.when(ascii_only, plain.try_cast(PARSED_AMOUNT))
@@ -25,7 +28,9 @@ def parse_int(number: Column) -> Column:
     """Whole-number text to bigint, sign kept; garbage and fractions become null."""
     text = number.cast("string")
     value = F.when(text.rlike(INTEGRAL_OR_DECIMAL), F.trim(text).try_cast("decimal(38,10)"))
-    return F.when(value == F.floor(value), value.try_cast("bigint"))
+    whole = F.when(value == F.floor(value), value.try_cast("bigint"))
+    # Nearly all texts are plain digits and stop at the first cast.
+    return F.coalesce(text.try_cast("bigint"), whole)
 
 
 def to_usd(local: Column, rate_to_usd: Column) -> Column:

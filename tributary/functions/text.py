@@ -4,8 +4,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Unicode white space plus the four ASCII separators that (?U)\s leaves out.
-SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+# The characters that count as white space, ASCII separators included.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+SPACE_RUN = f"[{WHITE_SPACE}]+"
 
 
 def clean_sku(sku: Column) -> Column:
@@ -16,8 +21,7 @@ def clean_sku(sku: Column) -> Column:
 
 def sku_key(sku: Column) -> Column:
     """Key under which SKUs of one channel are matched: trimmed, case folded."""
-    edges = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-    return F.lower(F.regexp_replace(sku, edges, ""))
+    return F.lower(F.btrim(sku, F.lit(WHITE_SPACE)))
 
 
 def row_json(df: DataFrame, columns: list[str] | None = None) -> Column:
