@@ -1,6 +1,6 @@
 import json
 import zipfile
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,6 +149,8 @@ def test_watermark_is_strict_and_in_wall_time(table):
     newer = drops.newer_than(rows, "fecha", mark, "America/Lima").collect()
     assert [r.fecha for r in newer] == [datetime(2024, 3, 15, 11)]
     assert drops.newer_than(rows, "fecha", None, "America/Lima").count() == 3
+    again = drops.newer_than(rows, "fecha", mark, "America/Lima", timedelta(minutes=1))
+    assert again.count() == 2
     newest = drops.data_watermark(rows, "fecha", "America/Lima").first()[0]
     assert newest == datetime(2024, 3, 15, 16)
     assert drops.data_watermark(rows.where("false"), "fecha", "America/Lima").first()[0] is None

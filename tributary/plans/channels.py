@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,7 @@ class Channel:
     decimal_sep: str = "."
     post_clean: Callable[[DataFrame], DataFrame] | None = None
     watermark_column: str | None = None
+    lookback: timedelta = timedelta()
     land_order: tuple[str, ...] = ()
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -148,16 +149,21 @@ def table_snapshot(
 
 
 def newer_than(
-    rows: DataFrame, time_column: str, watermark: Column | None, zone: str
+    rows: DataFrame,
+    time_column: str,
+    watermark: Column | None,
+    zone: str,
+    lookback: timedelta = timedelta(),
 ) -> DataFrame:
     """High-watermark scan: rows whose wall time in ``zone`` is after the watermark.
 
     The watermark is an instant; rows at it or before it, and rows without a
-    time, are left out. Without a watermark every row is taken.
+    time, are left out. Without a watermark every row is taken. ``lookback``
+    reads that much again to catch late rows, which the keyed upsert settles.
     """
     if watermark is None:
         return rows
-    wall = F.from_utc_timestamp(watermark, zone).cast("timestamp_ntz")
+    wall = F.from_utc_timestamp(watermark - F.lit(lookback), zone).cast("timestamp_ntz")
     return rows.where(F.col(time_column) > wall)
 
 
