@@ -4,6 +4,51 @@ from __future__ import annotations
 
 WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 
+
+
+def _mixing() -> str:
+    """The tree is filled level by level, as in the operator."""
+    levels = ["domain", "lang", "source"]
+    weights = {
+        "domain": "CASE domain WHEN 'web' THEN 2 WHEN 'reference' THEN 3 ELSE 1 END",
+        "lang": "CASE WHEN domain = 'web' AND lang = 'en' THEN 4 WHEN domain = 'reference' AND lang = 'es' THEN 5 ELSE 1 END",
+        "source": "1",
+    }
+    steps, given = [], "(SELECT floor(sum(tokens) * 0.9)::BIGINT AS given FROM leaves)"
+    for depth, level in enumerate(levels, 1):
+        path, parent = ", ".join(levels[:depth]), ", ".join(levels[: depth - 1])
+        group = f"PARTITION BY {parent} " if parent else ""
+        joined = f"JOIN {given} USING ({parent})" if parent else f"CROSS JOIN {given}"
+        steps.append(f"""
+children{depth} AS (
+  SELECT {path}, capacity, {weights[level]} AS weight, given
+  FROM (SELECT {path}, sum(tokens * 2)::BIGINT AS capacity FROM leaves GROUP BY {path}) {joined}),
+levels{depth} AS (
+  SELECT *, (given - coalesce(sum(capacity) OVER ({group}ORDER BY capacity / weight, {level}
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / sum(weight) OVER ({group}ORDER BY capacity / weight, {level} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM children{depth}),
+budgets{depth} AS (
+  SELECT {path}, least(capacity, greatest(floor(max(level) OVER ({group}) * weight)::BIGINT, 0)) AS given FROM levels{depth})""")
+        given = f"budgets{depth}"
+    return rf"""
+WITH numbered AS (SELECT *, TRY_CAST(regexp_extract(source, '^src([0-9]+)$', 1) AS INT) AS number FROM documents),
+counted AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    CASE WHEN number = 0 THEN 'web' WHEN number < 10 THEN 'reference' ELSE 'forum' END AS domain,
+    coalesce(len({WORDS}), 0)::BIGINT AS n_tokens
+  FROM numbered),
+leaves AS (
+  SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens FROM counted
+  GROUP BY domain, lang, source HAVING sum(n_tokens) > 0),{",".join(steps)},
+plan AS (SELECT domain, lang, source, given // tokens AS whole, given % tokens AS rest FROM leaves JOIN budgets3 USING (domain, lang, source)),
+keyed AS (SELECT *, md5('7:' || (whole + 1) || ':' || doc_id) AS key FROM counted JOIN plan USING (domain, lang, source)),
+summed AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key ROWS UNBOUNDED PRECEDING) AS reached FROM keyed)
+SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN reached <= rest THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM summed WHERE whole + CASE WHEN reached <= rest THEN 1 ELSE 0 END > 0"""
+
+
 QUERIES = {
     "op1_decontaminate": r"""
 WITH docs AS (
@@ -49,4 +94,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words OR 2 * marks > n_words
     OR 10 * n_dup_lines > 5 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
 FROM measured""",
+    "op8_line_dedup": r"""
+WITH every AS (
+  SELECT doc_id, line_no, lines[line_no + 1] AS line
+  FROM (SELECT doc_id, lines, unnest(range(0, len(lines))) AS line_no
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))),
+long AS (SELECT *, length(line) AS n FROM every WHERE length(line) >= 20),
+firsts AS (SELECT line, n, min(doc_id * 1000000 + line_no) AS place FROM long GROUP BY line, n),
+cells AS (
+  SELECT line, n, place, s, 0 AS side, left(line, s // 2) AS half FROM (SELECT *, unnest([n, n - 1]) AS s FROM firsts)
+  UNION ALL
+  SELECT line, n, place, s, 1, right(line, s - s // 2) FROM (SELECT *, unnest([n, n - 1]) AS s FROM firsts)),
+near AS (
+  SELECT a.line, min(b.place) AS place FROM cells a JOIN cells b
+    ON a.s = b.s AND a.side = b.side AND a.half = b.half AND a.line <> b.line
+  WHERE levenshtein(a.line, b.line) <= 1 GROUP BY a.line),
+earliest AS (SELECT line, least(firsts.place, coalesce(near.place, firsts.place)) AS place FROM firsts LEFT JOIN near USING (line)),
+gone AS (
+  SELECT doc_id, count(*) AS n_removed, string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS removed
+  FROM long JOIN earliest USING (line) WHERE place < doc_id * 1000000 + line_no GROUP BY doc_id)
+SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines,
+  coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed
+FROM documents LEFT JOIN gone USING (doc_id)""",
+    "op9_mixing": _mixing(),
 }

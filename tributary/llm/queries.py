@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, quality_cascade, simhash, token_files
+from . import decontaminate, line_dedup, mixing, quality_cascade, simhash, token_files, url_filter
 
 WORD_BPE_VOCABULARY = 49_408
 
@@ -53,9 +53,58 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3)
 
 
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+# Weights of domains and of languages inside the largest one; all others weigh 1.
+MIX_LEVELS = ["domain", "lang", "source"]
+MIX_WEIGHTS = {("web",): 2, ("reference",): 3, ("web", "en"): 4, ("reference", "es"): 5}
+MIX_SHARE = 0.9
+MIX_EPOCHS = 2
+MIX_SEED = 7
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """The documents' sources under three domains."""
+    number = F.expr("try_cast(regexp_extract(source, '^src([0-9]+)$', 1) as int)")
+    domain = F.when(number == 0, "web").when(number < 10, "reference").otherwise("forum")
+    return docs.select("doc_id", "text", "lang", "source", domain.alias("domain"))
+
+
+def chosen_documents(docs: DataFrame) -> DataFrame:
+    return mixing.choose(with_domain(docs), MIX_LEVELS, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        F.size("removed").cast("bigint").alias("n_removed"),
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
+    )
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chosen_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "domain", "lang", "source", "n_tokens", "copies")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_token_files": op3_token_files,
+    "op4_url_filter": op4_url_filter,
     "op5_quality_cascade": op5_quality_cascade,
     "op7_simhash": op7_simhash,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_mixing": op9_mixing,
 }
