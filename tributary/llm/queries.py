@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, line_dedup, mixing, quality_cascade, simhash, token_files, url_filter
+from . import (
+    decontaminate,
+    licenses,
+    line_dedup,
+    mixing,
+    quality_cascade,
+    simhash,
+    token_files,
+    toxicity,
+    url_filter,
+)
 
 WORD_BPE_VOCABULARY = 49_408
 
@@ -36,6 +46,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, word_bpe(), WORD_BPE_VOCABULARY)
@@ -49,6 +63,21 @@ def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def as_files(docs: DataFrame) -> DataFrame:
+    """The documents as files below source and language; every 40th is the licence file of its directory."""
+    path = F.expr(
+        "concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'), "
+        "if(doc_id % 400 = 0, null, concat('d', doc_id div 400)), "
+        "if(doc_id % 40 = 0, 'LICENSE', concat(doc_id, '.txt')))"
+    )
+    return docs.select(F.col("doc_id").alias("key"), path.alias("path"), "text")
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(as_files(table(spark, sf_dir, "documents")))
+    return found.select(F.col("key").alias("doc_id"), "path", "license", "how")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3)
 
@@ -101,9 +130,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_toxicity": op2_toxicity,
     "op3_token_files": op3_token_files,
     "op4_url_filter": op4_url_filter,
     "op5_quality_cascade": op5_quality_cascade,
+    "op6_licenses": op6_licenses,
     "op7_simhash": op7_simhash,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
