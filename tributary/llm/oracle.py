@@ -117,4 +117,18 @@ SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines,
   coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed
 FROM documents LEFT JOIN gone USING (doc_id)""",
     "op9_mixing": _mixing(),
+    "op10_substring_dedup": rf"""
+WITH worded AS (SELECT doc_id, coalesce({WORDS}, []) AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM worded WHERE len(w) >= 13)),
+firsts AS (SELECT g, min(doc_id) AS first FROM windows GROUP BY g HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, p FROM (
+  SELECT doc_id, unnest(range(i, i + 13)) AS p FROM windows JOIN firsts USING (g) WHERE first < doc_id)),
+each AS (SELECT doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM worded)),
+kept AS (
+  SELECT each.doc_id, string_agg(word, ' ' ORDER BY each.p) FILTER (gone.p IS NULL) AS text, count(gone.p) AS n_removed
+  FROM each LEFT JOIN gone ON each.doc_id = gone.doc_id AND each.p = gone.p GROUP BY each.doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM worded LEFT JOIN kept USING (doc_id)""",
 }

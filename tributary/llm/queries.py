@@ -15,6 +15,7 @@ from . import (
     mixing,
     quality_cascade,
     simhash,
+    substring_dedup,
     token_files,
     toxicity,
     url_filter,
@@ -128,6 +129,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "domain", "lang", "source", "n_tokens", "copies")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_passages(table(spark, sf_dir, "documents"), window=13).drop("kept")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_toxicity": op2_toxicity,
@@ -138,4 +143,5 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
+    "op10_substring_dedup": op10_substring_dedup,
 }

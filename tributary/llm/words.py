@@ -53,13 +53,15 @@ class Words(NamedTuple):
         return [(w.lower() if lower else w).decode() for w in out]
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about ``CHUNK_BYTES`` of text, never within a text."""
+def chunks(
+    batch: pa.RecordBatch, column: str = "text", max_bytes: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``max_bytes`` of text, never within a text."""
     sizes = batch.column(column).fill_null("").cast(pa.large_string())
     offsets = np.frombuffer(sizes.buffers()[1], np.int64)[sizes.offset :][: len(sizes) + 1]
     lo = 0
     while lo < batch.num_rows:
-        hi = int(np.searchsorted(offsets, offsets[lo] + CHUNK_BYTES, "right")) - 1
+        hi = int(np.searchsorted(offsets, offsets[lo] + max_bytes, "right")) - 1
         hi = min(max(hi, lo + 1), batch.num_rows)
         yield batch.slice(lo, hi - lo)
         lo = hi
