@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import partitions, stored
-from .words import DARK, chunks, find_words, gram_hashes, word_hashes
+from .words import DARK, chunks, find_words, gram_hashes, mix, word_hashes
 
 SENT_BYTES = 8 << 20  # text of a chunk within which windows are pre-aggregated
-PACKED = "shard int, docs binary, of binary, places binary, hashes binary"
+PACKED = "shard int, docs binary, of binary, places binary, hashes binary, n long"
 SPANS = "doc_id long, text_hash long, starts binary"
 
 
@@ -50,28 +50,54 @@ def _later(hashes: np.ndarray, doc_ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def _span_rows(doc_ids, text_hashes, places) -> pa.RecordBatch:
-    """The places of each (doc_id, text) as one row."""
-    order = np.lexsort([places, text_hashes, doc_ids])
-    d, t, p = doc_ids[order], text_hashes[order], places[order].astype("<i4")
-    new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])])) if len(d) else []
-    ends = [*new[1:], len(d)] if len(d) else []
-    starts = pa.array([p[a:b].tobytes() for a, b in zip(new, ends)], pa.binary())
-    return pa.record_batch(
-        [pa.array(d[new] if len(d) else [], pa.int64()), pa.array(t[new] if len(d) else [], pa.int64()), starts],
-        ["doc_id", "text_hash", "starts"],
-    )
+def _packed(shard, shards: int, ids, texts, row, place, hashes) -> pa.RecordBatch:
+    """A row a shard: the documents of its windows, then document, place and hash of each."""
+    order = np.argsort(shard, kind="stable")
+    ends = np.searchsorted(shard[order], np.arange(shards + 1))
+    out: list[tuple] = []
+    for s in np.flatnonzero(np.diff(ends)):
+        mine = order[ends[s] : ends[s + 1]]
+        rows, of = np.unique(row[mine], return_inverse=True)
+        table = np.stack([ids[rows], texts[rows]]).astype("<i8")
+        small = "<u2" if len(rows) < 1 << 16 else "<u4"
+        near = "<u2" if place[mine].max() < 1 << 16 else "<u4"
+        parts = (table, of.astype(small), place[mine].astype(near), hashes[mine] if len(hashes) else hashes)
+        out.append((int(s), *(x.tobytes() for x in parts), len(mine)))
+    kinds = [pa.int32(), *[pa.binary()] * 4, pa.int64()]
+    columns = list(zip(*out)) or [()] * len(kinds)
+    arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
+    return pa.record_batch(arrays, ["shard", "docs", "of", "places", "hashes", "n"])
+
+
+def _unpacked(group: pa.Table):
+    """(doc_ids, text hashes) of documents, and (document, place, hash) of windows."""
+    tables, of, places, hashes, base = [], [], [], [], 0
+    for row in group.select(["docs", "of", "places", "hashes", "n"]).to_pylist():
+        n = row["n"]
+        table = np.frombuffer(row["docs"], "<i8").reshape(2, -1)
+        tables.append(table)
+        of.append(np.frombuffer(row["of"], f"<u{len(row['of']) // n}").astype(np.int64) + base)
+        places.append(np.frombuffer(row["places"], f"<u{len(row['places']) // n}").astype("<i4"))
+        hashes.append(np.frombuffer(row["hashes"], "<u8"))
+        base += table.shape[1]
+    ids, texts = np.concatenate(tables, axis=1)
+    return ids, texts, np.concatenate(of), np.concatenate(places), np.concatenate(hashes)
+
+
+def _bucket(ids: np.ndarray, texts: np.ndarray, shards: int) -> np.ndarray:
+    """Where the windows of a document are gathered again."""
+    key = mix(ids.astype(np.uint64) ^ texts.astype(np.uint64))
+    return (key % np.uint64(shards)).astype(np.int64)
 
 
 def repeated_windows(docs: DataFrame, window: int, shards: int) -> DataFrame:
-    """``(doc_id, text_hash, starts)``: where windows start that are also in a smaller doc_id.
-
-    A document may have several rows; ``starts`` holds 32-bit places.
-    """
+    """``(doc_id, text_hash, starts)``: where windows start that are also in a smaller doc_id, as 32-bit places."""
     known = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
     )
 
+    none = np.zeros(0, "<u8")
+
     def scanned(batches, inside: bool):
         for batch in batches:
             for part in chunks(batch, max_bytes=SENT_BYTES):
@@ -79,42 +105,39 @@ def repeated_windows(docs: DataFrame, window: int, shards: int) -> DataFrame:
                 hashes, row, place = _windows(part, window)
                 later = _later(hashes, ids[row])
                 if inside:
-                    yield _span_rows(ids[row[later]], texts[row[later]], place[later])
-                    continue
-                hashes, row, place = hashes[~later], row[~later], place[~later]
-                shard = (hashes % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                ends = np.searchsorted(shard[order], np.arange(shards + 1))
-                out = []
-                for s in np.flatnonzero(np.diff(ends)):
-                    mine = order[ends[s] : ends[s + 1]]
-                    rows, of = np.unique(row[mine], return_inverse=True)
-                    table = np.stack([ids[rows], texts[rows]])
-                    kind = "<u2" if len(rows) < 1 << 16 else "<u4"
-                    far = "<u2" if place[mine].max() < 1 << 16 else "<u4"
-                    packed = [of.astype(kind), place[mine].astype(far), hashes[mine]]
-                    out.append((int(s), table.astype("<i8").tobytes(), *(x.tobytes() for x in packed)))
-                names = ["shard", "docs", "of", "places", "hashes"]
-                kinds = [pa.int32(), *[pa.binary()] * 4]
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], names)
+                    row, place = row[later], place[later]
+                    bucket = _bucket(ids, texts, shards)[row]
+                    yield _packed(bucket, shards, ids, texts, row, place, none)
+                else:
+                    hashes, row, place = hashes[~later], row[~later], place[~later]
+                    shard = (hashes % np.uint64(shards)).astype(np.int64)
+                    yield _packed(shard, shards, ids, texts, row, place, hashes)
 
     def decide(group: pa.Table) -> pa.Table:
-        columns: list[list[np.ndarray]] = [[], [], [], []]
-        for docs_, of, places, hashes in zip(*(group.column(c) for c in ("docs", "of", "places", "hashes"))):
-            found = np.frombuffer(hashes.as_buffer(), "<u8")
-            table = np.frombuffer(docs_.as_buffer(), "<i8").reshape(2, -1)
-            width = lambda b: f"<u{len(b.as_buffer()) // len(found)}"
-            at = np.frombuffer(of.as_buffer(), width(of))
-            for column, x in zip(columns, (found, table[0][at], table[1][at], np.frombuffer(places.as_buffer(), width(places)))):
-                column.append(x)
-        hashes, ids, texts, places = (np.concatenate(c) for c in columns)
-        later = _later(hashes, ids)
-        return pa.Table.from_batches([_span_rows(ids[later], texts[later], places[later])])
+        ids, texts, row, place, hashes = _unpacked(group)
+        later = _later(hashes, ids[row])
+        row, place = row[later], place[later]
+        bucket = _bucket(ids, texts, shards)[row]
+        return pa.Table.from_batches([_packed(bucket, shards, ids, texts, row, place, none)])
+
+    def gather(group: pa.Table) -> pa.Table:
+        ids, texts, row, place, _ = _unpacked(group)
+        order = np.lexsort([place, texts[row], ids[row]])
+        d, t, p = ids[row][order], texts[row][order], place[order]
+        new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])]))
+        starts = [p[a:b].tobytes() for a, b in zip(new, [*new[1:], len(p)])]
+        columns = [pa.array(d[new]), pa.array(t[new]), pa.array(starts, pa.binary())]
+        return pa.table(columns, ["doc_id", "text_hash", "starts"])
 
     across = (
-        known.mapInArrow(lambda b: scanned(b, False), PACKED).groupBy("shard").applyInArrow(decide, SPANS)
+        known.mapInArrow(lambda b: scanned(b, False), PACKED).groupBy("shard").applyInArrow(decide, PACKED)
+    )
+    return (
+        known.mapInArrow(lambda b: scanned(b, True), PACKED)
+        .unionByName(across)
+        .groupBy("shard")
+        .applyInArrow(gather, SPANS)
     )
-    return known.mapInArrow(lambda b: scanned(b, True), SPANS).unionByName(across)
 
 
 def _passages(places: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -136,9 +159,7 @@ def remove_passages(docs: DataFrame, window: int = 13, shards: int | None = None
     """
     spark = docs.sparkSession
     found = repeated_windows(docs, window, shards or partitions(spark))
-    spans = stored(
-        found.groupBy("doc_id", "text_hash").agg(F.collect_list("starts").alias("starts")), "passages"
-    ).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    spans = stored(found, "passages").withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     joined = texts.join(spans, (texts["doc_id"] == spans["_id"]) & (texts["text_hash"] == spans["_hash"]), "left")
 
@@ -155,7 +176,7 @@ def remove_passages(docs: DataFrame, window: int = 13, shards: int | None = None
                 for line, gap, doc_id, starts in zip(lines, gaps, ids, part.column("starts").to_pylist()):
                     if not starts:
                         continue
-                    places = np.unique(np.concatenate([np.frombuffer(s, "<i4") for s in starts]))
+                    places = np.unique(np.frombuffer(starts, "<i4"))
                     for a, b in _passages(places, window):
                         passage = line[gap[a] : gap[b] + 1]
                         seen[passage] = min(doc_id, seen.get(passage, doc_id))
