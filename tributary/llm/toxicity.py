@@ -146,14 +146,18 @@ def vote_patterns(docs: DataFrame, marks: np.ndarray, voter: np.ndarray) -> Data
     return docs.select("text").mapInArrow(run, "votes long").groupBy("votes").agg(F.count("*").alias("n"))
 
 
-def label_model(patterns: DataFrame, voters: int, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """Log-likelihood ratio of each voter's vote and silence, ``(2, voters)``, and the prior log odds.
-
-    Runs on all documents: each round is one sum over their vote patterns.
+def label_model(
+    patterns: DataFrame, speaks: np.ndarray, silent: np.ndarray, prior: float, rounds: int = ROUNDS
+) -> tuple[np.ndarray, float]:
+    """Log-likelihood ratio of each voter's silence and vote, ``(2, voters)``, and the prior log odds.
+
+    Starts from the rates of votes on toxic texts (``speaks``) and on others
+    (``silent``) that training labels show, and runs on all documents: each
+    round is one sum over their vote patterns.
     """
+    voters = len(speaks)
     bit = [F.shiftright("votes", j).bitwiseAND(1).cast("double") for j in range(voters)]
     n = F.col("n").cast("double")
-    speaks, silent, prior = np.full(voters, 0.3), np.full(voters, 0.01), 0.1
     share = np.ones(voters)  # how far a voter counts, for its correlations
     for round_ in range(rounds):
         ratio = _ratios(speaks, silent, share)
@@ -195,20 +199,22 @@ def _shares(both, pairs, speaks, silent, prior, every, total) -> np.ndarray:
     return 1 / (1 + excess)
 
 
-def fit(presence: np.ndarray, labels: np.ndarray, ridge: float = RIDGE, steps: int = 25):
-    """Weights and bias of a ridge logistic regression on soft labels, by Newton steps."""
-    x = np.hstack([presence, np.ones((len(presence), 1))])
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
-    penalty[-1] = 1e-6
+def fit(presence: np.ndarray, labels: np.ndarray, counts: np.ndarray, ridge: float = RIDGE, steps: int = 25):
+    """Weights and bias of a ridge logistic regression on soft labels of rows seen ``counts`` times, by Newton steps."""
+    w, bias = np.zeros(presence.shape[1]), 0.0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - labels) + penalty * w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), slope)
-        w -= step
+        p = 1 / (1 + np.exp(-np.clip(presence @ w + bias, -30, 30)))
+        miss, spread = counts * (p - labels), counts * p * (1 - p)
+        cross = presence.T @ spread
+        curve = np.empty((len(w) + 1, len(w) + 1))
+        curve[:-1, :-1] = (presence.T * spread) @ presence + np.diag(np.full(len(w), ridge))
+        curve[-1, :-1] = curve[:-1, -1] = cross
+        curve[-1, -1] = spread.sum() + 1e-6
+        step = np.linalg.solve(curve, np.append(presence.T @ miss + ridge * w, miss.sum()))
+        w, bias = w - step[:-1], bias - step[-1]
         if np.abs(step).max() < 1e-6:
             break
-    return w[:-1], float(w[-1])
+    return w, float(bias)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, marks: int = MARKS) -> Model:
@@ -217,8 +223,6 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ma
     hashes, voter = _deal(mine_marks(sample, marks))
     if not len(hashes):
         return Model(hashes, voter, np.zeros(0), -30.0)
-    ratios, prior = label_model(stored(vote_patterns(docs, hashes, voter), "votes"), 2 * VOTERS)
-
     def present(batches):
         table = _lookup(hashes)
         for batch in batches:
@@ -226,16 +230,31 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ma
                 text, mark = _present(part.column("text"), hashes, table)
                 counts = np.bincount(text, minlength=part.num_rows)
                 ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-                yield pa.record_batch([pa.ListArray.from_arrays(ends, pa.array(mark, pa.int64()))], ["marks"])
-
-    rows = [r.marks for r in sample.select("text").mapInArrow(present, "marks array<long>").collect()]  # bounded
-    x = np.zeros((len(rows), len(hashes)), np.float32)
+                marks = pa.ListArray.from_arrays(ends, pa.array(mark, pa.int64()))
+                yield pa.record_batch([marks, part.column("toxic").cast(pa.int32())], ["marks", "toxic"])
+
+    rows = (  # bounded by the sample; most of its texts have no marks and make one row
+        sample.mapInArrow(present, "marks array<long>, toxic int")
+        .groupBy("marks")
+        .agg(F.count("*").alias("n"), F.count_if(F.col("toxic") > 0).alias("bad"))
+        .orderBy("marks")
+        .collect()
+    )
+    x = np.zeros((len(rows), len(hashes)))
     votes = np.zeros((len(rows), 2 * VOTERS), bool)
     for i, row in enumerate(rows):
-        x[i, row] = 1
-        votes[i, voter[row]] = True
+        x[i, row.marks] = 1
+        votes[i, voter[row.marks]] = True
+    counts, bad = (np.array([r[c] for r in rows], float) for c in ("n", "bad"))
+    good = counts - bad
+    ratios, prior = label_model(
+        stored(vote_patterns(docs, hashes, voter), "votes"),
+        (bad @ votes + 0.5) / (bad.sum() + 1),
+        (good @ votes + 0.05) / (good.sum() + 1),
+        min(max(bad.sum() / counts.sum(), 1e-6), 0.5),
+    )
     logit = prior + np.where(votes, ratios[1], ratios[0]).sum(axis=1)
-    weights, bias = fit(x, 1 / (1 + np.exp(-np.clip(logit, -30, 30))))
+    weights, bias = fit(x, 1 / (1 + np.exp(-np.clip(logit, -30, 30))), counts)
     return Model(hashes, voter, weights, bias)
 
 
