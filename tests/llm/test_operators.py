@@ -190,7 +190,7 @@ def test_toxicity_learns_from_training_labels_only(spark, docs):
     assert all(got[i].predicted == labels[i][2] for i in range(600))
     assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i in range(600))
     flipped = table.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    again = {r.doc_id: r.score for r in toxicity.score(docs(rows), flipped).collect()}
+    again = {r.doc_id: r.score for r in toxicity.score(docs(rows + odd), flipped).collect()}
     assert all(abs(again[i] - got[i].score) < 1e-9 for i in range(600))
     none = toxicity.score(docs(rows[:9]), table.where("doc_id < 0"))
     assert {r.predicted for r in none.collect()} == {0}

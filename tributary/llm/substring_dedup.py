@@ -50,6 +50,16 @@ def _later(hashes: np.ndarray, doc_ids: np.ndarray) -> np.ndarray:
     return out
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Small numbers as four planes of bytes, of which the upper ones are nearly all zero and compress away."""
+    return values.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(raw: bytes, n: int) -> np.ndarray:
+    planes = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, n).T)
+    return planes.view("<i4")[:, 0].astype(np.int64)
+
+
 def _packed(shard, shards: int, ids, texts, row, place, hashes) -> pa.RecordBatch:
     """A row a shard: the documents of its windows, then document, place and hash of each."""
     order = np.argsort(shard, kind="stable")
@@ -59,10 +69,11 @@ def _packed(shard, shards: int, ids, texts, row, place, hashes) -> pa.RecordBatc
         mine = order[ends[s] : ends[s + 1]]
         rows, of = np.unique(row[mine], return_inverse=True)
         table = np.stack([ids[rows], texts[rows]]).astype("<i8")
-        small = "<u2" if len(rows) < 1 << 16 else "<u4"
-        near = "<u2" if place[mine].max() < 1 << 16 else "<u4"
-        parts = (table, of.astype(small), place[mine].astype(near), hashes[mine] if len(hashes) else hashes)
-        out.append((int(s), *(x.tobytes() for x in parts), len(mine)))
+        steps = np.diff(of, prepend=0)
+        first = np.concatenate([[True], steps[1:] != 0])
+        gaps = np.where(first, place[mine], np.diff(place[mine], prepend=0))
+        held = hashes[mine] if len(hashes) else hashes
+        out.append((int(s), table.tobytes(), _planes(steps), _planes(gaps), held.tobytes(), len(mine)))
     kinds = [pa.int32(), *[pa.binary()] * 4, pa.int64()]
     columns = list(zip(*out)) or [()] * len(kinds)
     arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
@@ -76,8 +87,12 @@ def _unpacked(group: pa.Table):
         n = row["n"]
         table = np.frombuffer(row["docs"], "<i8").reshape(2, -1)
         tables.append(table)
-        of.append(np.frombuffer(row["of"], f"<u{len(row['of']) // n}").astype(np.int64) + base)
-        places.append(np.frombuffer(row["places"], f"<u{len(row['places']) // n}").astype("<i4"))
+        steps, gaps = _from_planes(row["of"], n), _from_planes(row["places"], n)
+        of.append(np.cumsum(steps) + base)
+        first = np.flatnonzero(np.concatenate([[True], steps[1:] != 0]))
+        total = np.cumsum(gaps)
+        before = np.repeat(total[first] - gaps[first], np.diff(np.append(first, n)))
+        places.append((total - before).astype("<i4"))
         hashes.append(np.frombuffer(row["hashes"], "<u8"))
         base += table.shape[1]
     ids, texts = np.concatenate(tables, axis=1)
