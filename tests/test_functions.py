@@ -211,3 +211,15 @@ def test_random_whole_numbers(values):
 
     got = values(fn.parse_int, texts)
     assert [g for g, t in zip(got, texts) if "e" not in t] == [model(t) for t in texts if "e" not in t]
+
+
+def test_amounts_beyond_the_parsed_range_are_held_as_too_large(spark):
+    from tributary.functions.money import TOO_LARGE, line_total
+
+    texts = ["12345678901234567890", "-99999999999999999999.5", "000000000000000000000007", "1e30"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "place int, text string")
+    found = rows.orderBy("place").select(fn.parse_money(F.col("text")).alias("x")).collect()
+    assert [str(r.x) for r in found] == [f"{TOO_LARGE}.0000000000"] * 2 + ["7.0000000000", "130.0000000000"]
+    price, quantity = F.lit(1_000_000).cast("decimal(28,10)"), F.lit(7501234567890).cast("bigint")
+    total = spark.range(1).select(line_total(price, quantity, 4).alias("x")).first().x
+    assert str(total) == f"{TOO_LARGE}.0000000000"

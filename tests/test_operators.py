@@ -234,3 +234,27 @@ def test_stage_counts(table):
     df = table("k string, raw_id int, q int", [("a", 1, 1), ("a", 2, None), ("b", 1, 1), ("c", 1, 2), ("c", 2, 3)])
     counts = reshape.stage_counts(df, ["k"], F.col("raw_id"), ["q"]).first()
     assert tuple(counts) == (5, 2, 1, 2)
+
+
+def test_upsert_counts_each_key_once(spark, table, tmp_path):
+    rows = table("sku string, price string", [("a", "1"), ("a", "2"), ("b", "7")])
+    for path, write, left in (
+        (str(tmp_path / "update"), upsert.upsert_table, "2"),
+        (str(tmp_path / "absent"), upsert.append_absent, "1"),
+    ):
+        write(spark, path, rows.schema, rows, ["sku"])
+        found = upsert.read_table(spark, path, rows.schema).collect()
+        assert sorted(map(tuple, found)) == [("a", left), ("b", "7")]
+
+
+def test_older_rows_replace_nothing_newer(table):
+    columns = "sku string, at int, price string"
+    stored = table(columns, [("a", 2, "new"), ("b", 1, "old"), ("c", 3, "same")])
+    late = table(columns, [("a", 1, "late"), ("b", 5, "newer"), ("c", 3, "again"), ("d", 1, "first")])
+    merged = upsert.merge_rows(stored, late, ["sku"], newer_by=["at"]).collect()
+    assert sorted(map(tuple, merged)) == [
+        ("a", 2, "new"),
+        ("b", 5, "newer"),
+        ("c", 3, "again"),
+        ("d", 1, "first"),
+    ]

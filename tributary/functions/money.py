@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import PARSED_AMOUNT
 
+# Stands for amounts beyond what is parsed; no staging column takes it, so its row is refused.
+TOO_LARGE = "9" * 18
+BEYOND = r"^-?0*[1-9]\d{18,}(\.\d*)?$"
 INTEGRAL_OR_DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -12,7 +15,8 @@ def parse_money(amount: Column, decimal_sep: str = ".") -> Column:
     """Amount text to an exact decimal; what is not one number becomes null.
 
     Currency signs, letters, brackets and blanks are dropped, so ``(19.90)`` is
-    19.90. ``decimal_sep=","`` reads ``1.299,90`` as 1299.90.
+    19.90. ``decimal_sep=","`` reads ``1.299,90`` as 1299.90. A number of 19 or
+    more whole digits becomes :data:`TOO_LARGE`.
     """
     text = amount.cast("string")
     if decimal_sep == ",":
@@ -21,7 +25,8 @@ def parse_money(amount: Column, decimal_sep: str = ".") -> Column:
         plain = F.regexp_replace(text, r"[^\p{Nd}.-]", "")
     # Digits of other scripts are kept above, but do not make a number.
     ascii_only = F.octet_length(plain) == F.char_length(plain)
-    return F.when(ascii_only, plain.try_cast(PARSED_AMOUNT))
+    beyond = F.when(plain.rlike(BEYOND), F.lit(TOO_LARGE).cast(PARSED_AMOUNT))
+    return F.when(ascii_only, F.coalesce(plain.try_cast(PARSED_AMOUNT), beyond))
 
 
 def parse_int(number: Column) -> Column:
@@ -33,6 +38,19 @@ def parse_int(number: Column) -> Column:
     return F.coalesce(text.try_cast("bigint"), whole)
 
 
+def held(amount: Column) -> Column:
+    """A number as a parsed amount; one that does not fit becomes :data:`TOO_LARGE`."""
+    fits = amount.try_cast(PARSED_AMOUNT)
+    return F.when(amount.isNotNull(), F.coalesce(fits, F.lit(TOO_LARGE).cast(PARSED_AMOUNT)))
+
+
+def line_total(price: Column, quantity: Column, places: int) -> Column:
+    """Price times quantity, rounded half up; a product out of range becomes :data:`TOO_LARGE`."""
+    product = F.round(F.try_multiply(price, quantity), places).try_cast(PARSED_AMOUNT)
+    both = price.isNotNull() & quantity.isNotNull()
+    return F.when(both, F.coalesce(product, F.lit(TOO_LARGE).cast(PARSED_AMOUNT)))
+
+
 def to_usd(local: Column, rate_to_usd: Column) -> Column:
     """Amount times rate (USD per local unit), rounded half up to four places."""
-    return F.round(local * rate_to_usd, 4)
+    return F.round(F.try_multiply(local, rate_to_usd), 4)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.money import line_total
 from ..operators.ordering import line_position
 from ..sources import drops
 from ..sources.landing import INGEST_ORDER, raw_slice
@@ -167,7 +168,7 @@ def extract_mercadolibre(raw: DataFrame) -> DataFrame:
         price.alias("unit_price_local"),
         F.lit(0).cast(schemas.PARSED_AMOUNT).alias("discount_local"),
         _no_amount().alias("tax_local"),
-        F.round(price * quantity, 2).alias("line_total_local"),
+        line_total(price, quantity, 2).alias("line_total_local"),
         unless_given("currency_id", "PEN", "string").alias("currency"),
         F.col("status").alias("raw_status"),
         F.col("buyer.email").alias("customer_email"),
@@ -205,8 +206,8 @@ def extract_amazon(raw: DataFrame) -> DataFrame:
 
 def amazon_line_total(df: DataFrame) -> DataFrame:
     """The report has no line total: unit price times quantity, returns negative."""
-    total = F.round(F.col("unit_price_local") * F.col("quantity"), 4)
-    return df.withColumn("line_total_local", total.cast(schemas.PARSED_AMOUNT))
+    total = line_total(F.col("unit_price_local"), F.col("quantity"), 4)
+    return df.withColumn("line_total_local", total)
 
 
 def extract_tiendanube(raw: DataFrame) -> DataFrame:

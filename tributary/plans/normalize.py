@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import clean_sku, dmy_to_utc, iso_to_utc, naive_to_utc, parse_int, parse_money
+from ..functions.money import held
 from ..operators.lookup import apply_fx, checked, fits, latest_rates, map_status
 from ..operators.ordering import dedupe_by_key, drop_incomplete
 from .channels import LINE_ORDER, Channel
@@ -59,7 +60,7 @@ def clean(df: DataFrame, channel: Channel) -> DataFrame:
     def amount(name: str) -> Column:
         if isinstance(df.schema[name].dataType, T.StringType):
             return parse_money(F.col(name), channel.decimal_sep)
-        return F.col(name).cast(schemas.PARSED_AMOUNT)
+        return held(F.col(name))
 
     def whole(name: str) -> Column:
         if isinstance(df.schema[name].dataType, T.IntegralType):

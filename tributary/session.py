@@ -45,10 +45,13 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (as in tests) gets a machine-local folder.
+    Only a local session that names none (as in tests) gets a machine-local
+    folder; on a cluster its executors would not see each other's files.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tributary-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tributary/{label}-{uuid.uuid4().hex}"
