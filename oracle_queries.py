@@ -452,6 +452,18 @@ QUERIES: dict[str, str] = {
         PARTITION BY l_orderkey ORDER BY {RAW_ID}) AS line_pos FROM lineitem)
       SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(raw_id AS BIGINT) AS raw_id,
         line_pos, l_orderkey || '-' || line_pos AS platform_line_id FROM n""",
+    "line_positions_two_batches": f"""WITH l AS (SELECT l_orderkey, l_linenumber,
+        'S' || (l_partkey % 3) AS sku, {RAW_ID} AS raw_id,
+        CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS batch_id FROM lineitem),
+      landed AS (SELECT * FROM l UNION ALL
+        SELECT l_orderkey, l_linenumber, sku, raw_id + 1099511627776, 3 FROM l WHERE batch_id = 1),
+      n AS (SELECT *, row_number() OVER (
+        PARTITION BY l_orderkey, batch_id, sku ORDER BY raw_id) AS nth FROM landed),
+      f AS (SELECT *, min(batch_id * 4398046511104 + raw_id) OVER (
+        PARTITION BY l_orderkey, sku, nth) AS appeared FROM n)
+      SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(raw_id AS BIGINT) AS raw_id,
+        CAST(batch_id AS BIGINT) AS batch_id, sku,
+        dense_rank() OVER (PARTITION BY l_orderkey ORDER BY appeared) AS line_pos FROM f""",
     "surrogate_keys": """SELECT count(*) AS row_count, count(*) AS id_count, true AS above_start
       FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
     "order_json_explode": f"""WITH lines AS ({extracted("shopify", False)})
@@ -548,7 +560,9 @@ QUERIES: dict[str, str] = {
       {dressed("'amazon'")} AS sku, CAST({QTY} AS VARCHAR) AS quantity_purchased,
       CASE WHEN l_linestatus = 'F' THEN 'USD' END AS currency, {thousands(PRICE)} AS item_price,
       {thousands(f"CAST({PRICE} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(14,2))")} AS item_tax,
-      {EMAIL} AS buyer_email, CAST(NULL AS VARCHAR) AS ship_city FROM {BUYERS}""",
+      {EMAIL} AS buyer_email, CAST(NULL AS VARCHAR) AS ship_city, 'MRC' || l_orderkey AS merchant_order_id,
+      {WALL} || '-05:00' AS last_updated_date, 'Part ' || l_partkey AS product_name,
+      '0.00' AS shipping_price, CAST(NULL AS VARCHAR) AS ship_state FROM {BUYERS}""",
     "workbook_source": f"""SELECT CAST(l_orderkey AS VARCHAR) AS n_orden,
       strftime(o_orderdate, '%d/%m/%Y') AS fecha, {raw_status("'tiendanube'")} AS estado_pago,
       'Enviado' AS estado_envio, {dressed("'tiendanube'")} AS sku, 'Part ' || l_partkey AS producto,

@@ -198,6 +198,23 @@ def test_landing_a_report_again_does_not_number_its_lines_on(raw, reference):
     assert {r.raw_id for r in df.collect()} == {3, 4}
 
 
+def test_lines_of_an_order_in_several_reports_all_stay(raw, reference):
+    """Lines A and B come first, C in a later report, then B changed, and a second A."""
+
+    def line(sku, status="Shipped"):
+        return (*AMAZON_ROW[:4], status, sku, *AMAZON_ROW[6:])
+
+    rows = [line("A"), line("B"), line("C"), line("B", "Refunded"), line("A"), line("A")]
+    df = normalize(raw(channels.AMAZON, rows, batches=[1, 1, 2, 3, 4, 4]), channels.AMAZON, reference)
+    found = {r.platform_line_id: (r.platform_sku, r.order_status, r.raw_id) for r in df.collect()}
+    assert found == {
+        "111-1-1": ("A", "paid", 5),
+        "111-1-2": ("B", "refunded", 4),
+        "111-1-3": ("C", "paid", 3),
+        "111-1-4": ("A", "paid", 6),
+    }
+
+
 def test_tiendanube(raw, reference):
     row = ("3001", "15/03/2024", "Pagado", "Enviado", "Ana", None, "tn a", "Polo", "2", "S/ 40.00",
            "0", "80.00", None)

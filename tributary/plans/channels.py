@@ -178,15 +178,34 @@ def extract_mercadolibre(raw: DataFrame) -> DataFrame:
 # --- line-level reports --------------------------------------------------------
 
 
-def _numbered_lines(raw: DataFrame, order_column: str) -> DataFrame:
-    """Reports have no line id: number the lines of an order inside its batch."""
-    return line_position(
-        raw, ["batch_id", order_column], ["source_file", "raw_id"], raw_slice()
-    ).withColumn("element", F.lit(0))
+def numbered_lines(raw: DataFrame, order_column: str) -> DataFrame:
+    """Number the lines of an order as ``line_pos``; reports have no line id.
+
+    A line is known by its order, its SKU and which of the lines of that SKU it is
+    inside its batch. An order's lines are numbered by first appearance over all
+    batches: a report that lands again finds its own numbers, and lines that come
+    in a later report get new ones.
+    """
+    nth = line_position(
+        raw.withColumn("_sku", F.coalesce("sku", F.lit(""))),
+        ["batch_id", order_column, "_sku"],
+        ["source_file", "raw_id"],
+        raw_slice(),
+        "_nth",
+    )
+    line = [order_column, "_sku", "_nth"]
+    first = nth.groupBy(*line).agg(F.min(F.struct(*INGEST_ORDER)).alias("_first"))
+    positions = line_position(
+        first.select(*line, "_first.*"),
+        [order_column],
+        INGEST_ORDER,
+        F.struct("batch_id", raw_slice().alias("slice")),
+    ).select(*line, "line_pos")
+    return nth.join(positions, line, "left").drop("_sku", "_nth").withColumn("element", F.lit(0))
 
 
 def extract_amazon(raw: DataFrame) -> DataFrame:
-    return _numbered_lines(raw, "amazon_order_id").select(
+    return numbered_lines(raw, "amazon_order_id").select(
         *LINE_ORDER,
         F.col("amazon_order_id").alias("platform_order_id"),
         F.concat("amazon_order_id", F.lit("-"), "line_pos").alias("platform_line_id"),
@@ -211,7 +230,7 @@ def amazon_line_total(df: DataFrame) -> DataFrame:
 
 
 def extract_tiendanube(raw: DataFrame) -> DataFrame:
-    return _numbered_lines(raw, "n_orden").select(
+    return numbered_lines(raw, "n_orden").select(
         *LINE_ORDER,
         F.col("n_orden").alias("platform_order_id"),
         F.concat("n_orden", F.lit("-"), "line_pos").alias("platform_line_id"),

@@ -481,6 +481,23 @@ def line_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select(*LINE_ID, "line_pos", line_id.alias("platform_line_id"))
 
 
+@query
+def line_positions_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders split over two reports, the first of which lands a second time."""
+    report = F.when(F.col("l_linestatus") == "F", 1).otherwise(2)
+    lines = _line_text(spark, sf_dir).select(
+        *LINE_ID,
+        F.concat(F.lit("S"), F.col("l_partkey") % 3).alias("sku"),
+        report.cast("bigint").alias("batch_id"),
+        F.lit(None).cast("string").alias("source_file"),
+    )
+    again = lines.where("batch_id = 1").withColumns(
+        {"batch_id": F.lit(3).cast("bigint"), "raw_id": F.col("raw_id") + (1 << 40)}
+    )
+    numbered = channels.numbered_lines(lines.unionByName(again), "l_orderkey")
+    return numbered.select(*LINE_ID, "batch_id", "sku", "line_pos")
+
+
 @query
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all distinct lines: one each, all above the start."""
@@ -932,10 +949,7 @@ def write_tsv(rows: DataFrame, path: str, headers: dict[str, str]) -> None:
 def tsv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark, 'tsv')}/drop"
     write_tsv(sample.raw_amazon(spark, sf_dir), path, drops.AMAZON_HEADERS)
-    return drops.verbatim_tsv(spark, path, drops.AMAZON_HEADERS).select(
-        "amazon_order_id", "purchase_date", "order_status", "sku", "quantity_purchased",
-        "currency", "item_price", "item_tax", "buyer_email", "ship_city",
-    )
+    return drops.verbatim_tsv(spark, path, drops.AMAZON_HEADERS).drop(*drops.POSITION.names)
 
 
 @query
