@@ -36,12 +36,16 @@ def attach_rate(
     come from :func:`checked`, so the large side is not moved for a small table.
     """
     daily = fx.withColumnsRenamed({"rate_date": "_rate_date", "rate_to_usd": "_day_rate"})
+    # Only rows without a rate of their day look further. A key that depends on the
+    # row also stays a join key where the currency is one literal for a whole channel.
+    undated = F.when(F.col("_day_rate").isNull(), F.col("currency"))
     return (
         df.withColumn("_rate_date", utc_date(F.col(instant)))
         .join(daily, ["currency", "_rate_date"], "left")
-        .join(latest, "currency", "left")
+        .withColumn("_undated", undated)
+        .join(latest.withColumnRenamed("currency", "_undated"), "_undated", "left")
         .withColumn("rate_to_usd", F.coalesce("_day_rate", "latest_rate"))
-        .drop("_rate_date", "_day_rate", "latest_rate")
+        .drop("_rate_date", "_day_rate", "_undated", "latest_rate")
     )
 
 
