@@ -108,6 +108,21 @@ def test_workbook_shared_strings_and_references(spark, tmp_path):
     assert [(r.sku, r.cantidad) for r in got] == [("tn 9", None), (None, "4")]
 
 
+def test_workbook_whole_numbers_and_error_cells():
+    from xml.etree import ElementTree as ET
+
+    from tributary.sources.workbook import MAIN, _cell_text
+
+    def text(kind, value):
+        cell = ET.Element(f"{MAIN}c", {"t": kind} if kind else {})
+        ET.SubElement(cell, f"{MAIN}v").text = value
+        return _cell_text(cell, [])
+
+    assert text(None, "98765432109876543") == "98765432109876543"
+    assert text("n", "-40") == "-40" and text("n", "6.50") == "6.5" and text("n", "3E2") == "300"
+    assert text("e", "#REF!") is None and text("str", "#5") == "#5"
+
+
 def test_landing_appends_batches_and_replaces_a_repeated_one(spark, table, tmp_path):
     path = str(tmp_path / "raw")
     schema = schemas.struct("k string")

@@ -42,6 +42,8 @@ def _column_number(reference: str) -> int:
 
 
 def _number_text(raw: str) -> str:
+    if re.fullmatch(r"-?\d+", raw):
+        return raw  # ids may have more digits than a float holds
     value = float(raw)
     return str(int(value)) if value.is_integer() else repr(value)
 
@@ -51,7 +53,7 @@ def _cell_text(cell: ET.Element, shared: list[str]) -> str | None:
     if kind == "inlineStr":
         return _text_of(cell)
     raw = cell.findtext(f"{MAIN}v")
-    if raw is None:
+    if raw is None or kind == "e":  # an error, such as a division by zero, is no value
         return None
     if kind == "s":
         return shared[int(raw)]
@@ -74,8 +76,11 @@ def sheet_rows(content: bytes, sheet: str) -> Iterator[list[str | None]]:
         target = {r.get("Id"): r.get("Target") for r in targets}[relation]
         part = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
         with book.open(part) as xml:
-            for _, row in ET.iterparse(xml):
-                if row.tag != f"{MAIN}row":
+            table = None
+            for event, row in ET.iterparse(xml, events=("start", "end")):
+                if event == "start" and row.tag == f"{MAIN}sheetData":
+                    table = row
+                if event == "start" or row.tag != f"{MAIN}row":
                     continue
                 cells: dict[int, str | None] = {}
                 for place, cell in enumerate(row.iter(f"{MAIN}c")):
@@ -83,7 +88,7 @@ def sheet_rows(content: bytes, sheet: str) -> Iterator[list[str | None]]:
                     column = _column_number(reference) if reference else place
                     cells[column] = _cell_text(cell, shared)
                 yield [cells.get(i) for i in range(max(cells, default=-1) + 1)]
-                row.clear()
+                table.clear()  # rows read are not kept
 
 
 def decode_workbooks(files: DataFrame, sheet: str, headers: dict[str, str]) -> DataFrame:
