@@ -67,9 +67,9 @@ def mapping(table):
     return table(
         "source_platform string, platform_sku string, sku_canonical string, product_name string, category string",
         [
-            ("shopify", "SHP-POL001-BLK-M", "POL-001", "Polo", "Polos"),
-            ("shopify", " shp-pol001-blk-m", "POL-000", "Other", "Polos"),
-            ("amazon", "B0POL001BKM", "POL-001", "Polo", "Polos"),
+            ("shopify", "Cup Large/7", "K-2", "Cup", "Tableware"),
+            ("shopify", " cup large/7", "K-1", "Mug", "Tableware"),
+            ("amazon", "ZK77", "K-2", "Cup", "Tableware"),
         ],
     )
 
@@ -78,29 +78,29 @@ def test_canonical_sku(table, mapping):
     lines = table(
         "source_platform string, platform_sku string",
         [
-            ("amazon", " b0pol001bkm "),
-            ("shopify", "FAKE-SKU"),
-            ("amazon", "SHP-POL001-BLK-M"),
+            ("amazon", " zk77 "),
+            ("shopify", "plate"),
+            ("amazon", "Cup Large/7"),
             ("shopify", None),
-            ("shopify", "SHP-POL001-blk-m"),
+            ("shopify", "Cup LARGE/7"),
         ],
     )
     got = lookup.attach_canonical(lines, lookup.sku_lookup(mapping)).collect()
     assert {(r.platform_sku, r.sku_canonical) for r in got} == {
-        (" b0pol001bkm ", "POL-001"),
-        ("FAKE-SKU", None),
-        ("SHP-POL001-BLK-M", None),
+        (" zk77 ", "K-2"),
+        ("plate", None),
+        ("Cup Large/7", None),
         (None, None),
-        ("SHP-POL001-blk-m", "POL-000"),
+        ("Cup LARGE/7", "K-1"),
     }
     conflicts = rows(lookup.mapping_conflicts(mapping))
-    assert conflicts == [("shopify", "shp-pol001-blk-m", 2, "POL-000")]
+    assert conflicts == [("shopify", "cup large/7", 2, "K-1")]
 
 
 def test_coverage_and_unmapped(table, mapping):
     lines = table(
         "source_platform string, platform_sku string",
-        [("shopify", "x"), ("shopify", "x"), ("shopify", "X"), ("shopify", None), ("amazon", "B0POL001BKM")],
+        [("shopify", "x"), ("shopify", "x"), ("shopify", "X"), ("shopify", None), ("amazon", "ZK77")],
     )
     enriched = lookup.attach_canonical(lines, lookup.sku_lookup(mapping))
     assert lookup.sku_coverage(enriched).first() == (5, 1, 4)
@@ -124,17 +124,17 @@ def test_a_table_over_the_bound_is_joined_without_broadcast(spark, table):
 
 # --- order -----------------------------------------------------------------------
 
-VERSIONS = [("A", "1", 1, "old"), ("A", "1", 5, "new"), ("B", "1", 2, "only")]
-
-
-def test_dedupe_keeps_last_or_first(table):
-    df = table("o string, l string, raw_id int, v string", VERSIONS)
-    last = ordering.dedupe_by_key(df, ["o", "l"], ["raw_id"])
-    first = ordering.dedupe_by_key(df, ["o", "l"], ["raw_id"], keep="first")
-    assert [r[3] for r in rows(last)] == ["new", "only"]
-    assert [r[3] for r in rows(first)] == ["old", "only"]
+def test_dedupe_keeps_last_or_first(spark):
+    """60 readings of 7 meters: the last is the greatest place, the first the least."""
+    df = spark.range(60).select((F.col("id") * 11 % 7).alias("meter"), (F.col("id") * 13 % 61).alias("place"))
+    places = {}
+    for r in df.collect():
+        places.setdefault(r.meter, []).append(r.place)
+    for keep, chosen in (("last", max), ("first", min)):
+        kept = ordering.dedupe_by_key(df, ["meter"], ["place"], keep=keep)
+        assert rows(kept) == sorted(((m, chosen(p)) for m, p in places.items()), key=repr)
     with pytest.raises(ValueError):
-        ordering.dedupe_by_key(df, ["o"], ["raw_id"], keep="any")
+        ordering.dedupe_by_key(df, ["meter"], ["place"], keep="any")
 
 
 def test_newer_incomplete_row_hides_the_older_complete_one(table):
@@ -224,6 +224,14 @@ def test_default_calendar(spark):
     assert first.date_id == date(2024, 1, 1) and first.day_name == "Lunes"
 
 
+def test_a_mistyped_year_adds_that_year_alone(table):
+    from tributary.plans.warehouse import dim_date_for
+
+    orders = table("day string", [("2025-06-30",), ("2025-01-02",), ("9024-02-29",), (None,)])
+    days = dim_date_for(orders, F.col("day").cast("date"))
+    assert rows(days.groupBy("year").count()) == [(2025, 365), (9024, 366)]
+
+
 def test_unpivot_catalog(table):
     catalog = table("sku_canonical string, sku_a string, sku_b string", [("C1", "a1", "b1")])
     long = reshape.unpivot_catalog(catalog, {"a": "sku_a", "b": "sku_b"})

@@ -66,12 +66,13 @@ def dim_date(
 
 
 def dim_date_for(rows: DataFrame, day: Column) -> DataFrame:
-    """The calendar of whole years around the days of ``rows``."""
-    bounds = rows.agg(
-        F.trunc(F.min(day), "year").alias("first_day"),
-        F.date_sub(F.add_months(F.trunc(F.max(day), "year"), 12), 1).alias("last_day"),
-    ).where("first_day IS NOT NULL")
-    return calendar(bounds)
+    """The calendar of the whole years that have days of ``rows``.
+
+    Years between them are left out, so that a mistyped year adds itself alone.
+    """
+    years = rows.select(F.trunc(day, "year").alias("first_day")).distinct()
+    last = F.date_sub(F.add_months("first_day", 12), 1).alias("last_day")
+    return calendar(years.where("first_day IS NOT NULL").select("first_day", last))
 
 
 def fact_rows(
