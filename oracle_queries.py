@@ -474,7 +474,8 @@ QUERIES: dict[str, str] = {
         CASE WHEN element = 1 THEN '0.00' ELSE CAST(CAST(discount_local AS DECIMAL(12,4)) AS VARCHAR)
           END AS discount_local,
         CAST(CAST(line_total_local AS DECIMAL(12,2)) AS VARCHAR) AS line_total_local,
-        currency, raw_status, customer_email, CAST(element + 1 AS BIGINT) AS element
+        currency, raw_status, customer_email, CAST(element + 1 AS BIGINT) AS element,
+        CAST(NULL AS DOUBLE) AS tax_local
       FROM lines JOIN (
         SELECT {RAW_ID} AS r, CAST(l_orderkey AS VARCHAR) AS o, CAST(l_linenumber AS VARCHAR) AS l,
           {dressed("'shopify'")} AS sku FROM lineitem
@@ -495,7 +496,7 @@ QUERIES: dict[str, str] = {
       CAST(product_id AS BIGINT) AS product_id, CAST(date_id AS VARCHAR) AS date_id, {KEY},
       platform_sku, sku_canonical, {stamp("order_dt_utc")} AS order_dt_utc,
       CAST(quantity AS BIGINT) AS quantity,
-      {doubles("unit_price_local", "discount_local", "line_total_local")}, currency,
+      {doubles("unit_price_local", "discount_local", "tax_local", "line_total_local")}, currency,
       {doubles("unit_price_usd", "line_total_usd")}, order_status, customer_email FROM facts""",
     "extraction_counts": f"""WITH {CLEAN_LINES}, newest AS (SELECT * FROM cleaned
         QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY raw_id DESC) = 1)

@@ -518,7 +518,7 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def order_json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = sample.shopify_documents(spark, sf_dir)
-    return channels.extract_shopify(raw).drop(*landing.INGEST_ORDER, "tax_local").withColumn(
+    return channels.extract_shopify(raw).drop(*landing.INGEST_ORDER).withColumn(
         "element", F.col("element") + 1
     )
 
@@ -599,7 +599,7 @@ def all_channels_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging of the five channels as fact rows."""
     parts = products(spark, sf_dir)
-    return facts(spark, sf_dir, all_channels(spark, sf_dir), parts).drop("tax_local")
+    return facts(spark, sf_dir, all_channels(spark, sf_dir), parts)
 
 
 @query
