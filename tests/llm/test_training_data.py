@@ -169,6 +169,10 @@ def test_cascade_order_never_changes_the_verdict(docs):
     two = quality_cascade.judge(table, rules=list(reversed(quality_cascade.RULES)), sample_rows=1)
     assert rows_of(one, "doc_id", "n_words", "kept") == rows_of(two, "doc_id", "n_words", "kept")
     assert {r.doc_id for r in one.where("kept").collect()} == {30}
+    measured = quality_cascade.rule_costs(table)
+    assert [m["rule"] for m in measured] == [r.name for r in quality_cascade.RULES]
+    assert all(0 <= m["rejected"] <= 1 and m["cost"] > 0 for m in measured)
+    assert quality_cascade.rule_costs(docs([])) == []
     assert quality_cascade.judge(docs([])).count() == 0
 
 
