@@ -124,9 +124,10 @@ RULES = [
 
 
 def rule_costs(docs: DataFrame, rules: list[Rule] = RULES, rows: int = SAMPLE_ROWS) -> list[dict]:
-    """Seconds a text and share rejected of each rule, on the ``rows`` documents of least hash.
+    """Seconds a text and share rejected of each rule, on about ``rows`` ids of least hash.
 
-    One task measures the bounded sample; only its figures come to the driver.
+    The share of ids taken follows from the row count, so tasks send only the texts that are
+    measured, one of each id. One task measures them; only its figures come to the driver.
     """
     names = [r.name for r in rules]
 
@@ -145,8 +146,15 @@ def rule_costs(docs: DataFrame, rules: list[Rule] = RULES, rows: int = SAMPLE_RO
                 ["rule", "cost", "rejected"],
             )
 
-    sample = docs.select("text").orderBy(F.xxhash64("doc_id", "text")).limit(rows).coalesce(1)
-    found = sample.mapInArrow(measure, "rule string, cost double, rejected double")
+    share = min(1.0, rows / max(docs.count(), 1))
+    greatest = min(int(-(2**63) + share * 2**64), 2**63 - 1)
+    sample = (
+        docs.select(F.xxhash64("doc_id").alias("key"), "text")
+        .where(F.col("key") <= greatest)
+        .groupBy("key")
+        .agg(F.min("text").alias("text"))
+    )
+    found = sample.select("text").coalesce(1).mapInArrow(measure, "rule string, cost double, rejected double")
     return [r.asDict() for r in found.collect()]
 
 
