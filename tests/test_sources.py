@@ -138,6 +138,17 @@ def test_landing_appends_batches_and_replaces_a_repeated_one(spark, table, tmp_p
     assert landing.land(spark, rows("c"), path, schema, 2) == 1
     again = {(r.batch_id, r.k) for r in landing.read_raw(spark, path, schema).collect()}
     assert again == {(1, "a"), (1, "b"), (2, "c")}
+    assert landing.land(spark, rows(), path, schema, 2) == 0
+    left = {(r.batch_id, r.k) for r in landing.read_raw(spark, path, schema).collect()}
+    assert left == {(1, "a"), (1, "b")}
+    assert landing.land(spark, rows("d"), path, schema, 3) == 1
+
+
+def test_a_first_batch_may_be_empty(spark, table, tmp_path):
+    path, schema = str(tmp_path / "raw"), schemas.struct("k string")
+    empty = table("k string, source_file string", [])
+    assert landing.land(spark, empty, path, schema, 1) == 0
+    assert landing.read_raw(spark, path, schema).count() == 0
 
 
 def test_ids_follow_the_position_in_a_file_read_in_many_splits(spark, tmp_path):

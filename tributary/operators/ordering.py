@@ -63,14 +63,18 @@ def key_bucket(keys: list[str], buckets: int) -> Column:
 
 
 def surrogate_ids(
-    df: DataFrame, keys: list[str], start: int, buckets: int, name: str
+    df: DataFrame, keys: list[str], start: int, buckets: int, name: str, known: str | None = None
 ) -> DataFrame:
     """Unique ids above ``start``, the same on every re-run of a task.
 
     Bucket ``b`` of ``B`` takes the ids ``start + 1 + b + B * n``, so no task
-    needs to know the counts of another. ``keys`` must be unique in ``df``.
+    needs to know the counts of another. ``keys`` must be unique in ``df``. Rows
+    with an id in the column ``known`` keep it and use up no new one.
     """
-    bucketed = df.withColumn("_bucket", key_bucket(keys, buckets))
-    nth = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
+    fresh = F.lit(True) if known is None else F.col(known).isNull()
+    bucketed = df.withColumns({"_bucket": key_bucket(keys, buckets), "_fresh": fresh})
+    nth = F.row_number().over(Window.partitionBy("_bucket", "_fresh").orderBy(*keys))
     new_id = F.lit(start) + F.col("_bucket") + (nth - 1).cast("bigint") * buckets + 1
-    return bucketed.withColumn(name, new_id.cast("bigint")).drop("_bucket")
+    given = F.lit(None) if known is None else F.col(known)
+    ids = F.when(F.col("_fresh"), new_id).otherwise(given).cast("bigint")
+    return bucketed.withColumn(name, ids).drop("_bucket", "_fresh")

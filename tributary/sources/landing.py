@@ -68,9 +68,9 @@ def land(
     """Write one batch and return its row count.
 
     Nothing is deduplicated: a drop that comes again is landed again, as a new
-    batch. Landing the same ``batch_id`` again replaces that batch, so a run that
-    failed half way can be repeated. ``raw_id`` grows along ``order_by``, or along
-    the position in the file.
+    batch. Landing the same ``batch_id`` again replaces that batch, with no rows
+    too, so a run that failed half way can be repeated. ``raw_id`` grows along
+    ``order_by``, or along the position in the file.
     """
     base = last_raw_id(spark, path, batch_id)
     if order_by:
@@ -80,14 +80,8 @@ def land(
     landed = rows.select(
         *schema.names,
         (F.monotonically_increasing_id() + F.lit(base + 1)).alias("raw_id"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
         source_file.cast("string").alias("source_file"),
         F.current_timestamp().alias("ingested_at"),
     )
-    (
-        landed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    landed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return read_raw(spark, path, schema).where(F.col("batch_id") == batch_id).count()
