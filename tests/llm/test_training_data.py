@@ -270,6 +270,12 @@ def test_license_scan_and_inheritance(spark):
     assert licenses.scan(table.limit(0)).count() == 0
 
 
+def test_licenses_are_found_on_any_line(spark):
+    files = [(1, "a/b.txt", "some code\n" * 40 + "Released under the MIT License.\nmore"), (2, "a/c.txt", "some code\n" * 40)]
+    got = rows_of(licenses.scan(spark.createDataFrame(files, "key long, path string, text string")), "key", "license", "how")
+    assert got == [(1, "MIT", "own"), (2, None, None)]
+
+
 def distance_one(a, b):
     if abs(len(a) - len(b)) > 1 or a == b:
         return a == b

@@ -1,8 +1,8 @@
 """Licences of files by sparse TF-IDF cosine, and of their directories by inheritance.
 
-A file has its own licence if a line of its header, or any line of a licence
-file, is near enough to a template. Other files take the licence of the licence
-file in the nearest directory above them. A word outside the templates weighs
+A file has its own licence if any line of its text is near enough to a
+template. Other files take the licence of the licence file in the nearest
+directory above them. A word outside the templates weighs
 like the rarest one, so only the templates' words need counting.
 """
 
@@ -16,7 +16,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HEADER_LINES = 5
 NEAR = 0.8
 WORD = re.compile(r"[a-z0-9]+")
 LICENSE_FILE = "(?i)^(license|licence|copying|notice)([.].*)?$"
@@ -37,13 +36,8 @@ def _words(line: str) -> Counter:
     return Counter(WORD.findall(line.lower()))
 
 
-def _lines(text: str | None, whole: bool) -> list[str]:
-    lines = [x for x in (text or "").split("\n") if x.strip()]
-    return lines if whole else lines[:HEADER_LINES]
-
-
 def term_weights(files: DataFrame, templates: dict[str, str]) -> tuple[dict[str, float], float]:
-    """idf of every template word over the headers of all files, and that of any other word."""
+    """idf of every template word over all files, and that of any other word."""
     vocabulary = set().union(*[_words(t) for t in templates.values()])
 
     def count(batches):
@@ -51,7 +45,7 @@ def term_weights(files: DataFrame, templates: dict[str, str]) -> tuple[dict[str,
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 n += 1
-                found.update(vocabulary & _words("\n".join(_lines(text, False))).keys())
+                found.update(vocabulary & _words(text or "").keys())
         yield pa.record_batch(
             [pa.array([*found, ""], pa.string()), pa.array([*found.values(), n], pa.int64())], ["term", "n"]
         )
@@ -74,9 +68,9 @@ def own_licenses(files: DataFrame, templates: dict[str, str] = TEMPLATES, near:
     idf, other = term_weights(files, templates)
     units = {name: _unit(_words(t), idf, other) for name, t in sorted(templates.items())}
 
-    def best(text, whole):
+    def best(text):
         found = (0.0, None)
-        for line in _lines(text, whole):
+        for line in (text or "").split("\n"):
             words = _words(line)
             if idf.keys().isdisjoint(words):
                 continue
@@ -89,7 +83,7 @@ def own_licenses(files: DataFrame, templates: dict[str, str] = TEMPLATES, near:
 
     def run(batches):
         for batch in batches:
-            pairs = [best(t, w) for t, w in zip(batch.column("text").to_pylist(), batch.column("is_license").to_pylist())]
+            pairs = [best(t) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 [
                     batch.column("key"),
