@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -276,6 +278,59 @@ def test_licenses_are_found_on_any_line(spark):
     assert got == [(1, "MIT", "own"), (2, None, None)]
 
 
+def test_license_weights_count_every_word(spark):
+    files = [(i, f"{i}.txt", "en de la") for i in range(300)] + [(300, "x.txt", "Released under the MIT License en de la")]
+    found = licenses.own_licenses(spark.createDataFrame(files, "key long, path string, text string"))
+    assert rows_of(found.where("own is not null"), "key", "own") == [(300, "MIT")]
+
+
+def spans_of(lines, size):
+    """Words that are compared with a template of ``size`` words."""
+    yield from lines
+
+
+def own_by_hand(texts):
+    cut = [[re.findall("[a-z0-9]+", x.lower()) for x in (t or "").split("\n")] for t in texts]
+    held = Counter(w for lines in cut for w in set().union(*lines))
+    idf = {w: math.log((1 + len(texts)) / (1 + n)) + 1 for w, n in held.items()}
+
+    def unit(words):
+        vector = {w: n * idf.get(w, math.log(1 + len(texts)) + 1) for w, n in Counter(words).items()}
+        norm = math.sqrt(sum(v * v for v in vector.values())) or 1
+        return {w: v / norm for w, v in vector.items()}
+
+    out = []
+    for lines in cut:
+        best = (0.8, "", None)
+        for name, template in sorted(licenses.TEMPLATES.items()):
+            words = re.findall("[a-z0-9]+", template.lower())
+            of = unit(words)
+            for span in spans_of(lines, len(words)):
+                cosine = sum(v * of.get(w, 0) for w, v in unit(span).items())
+                if cosine > best[0] + 1e-9 or (best[2] is None and cosine >= 0.8):
+                    best = (cosine, name, name)
+        out.append((best[2], best[2] and round(best[0], 6)))
+    return out
+
+
+@pytest.mark.parametrize("known", [1, 20_000])
+def test_own_licenses_against_plain_python(spark, monkeypatch, known):
+    monkeypatch.setattr(licenses, "KNOWN_WORDS", known)
+    rng, texts = random.Random(5), [t for _, t in [*ODD, *given(spark)[:80]]]
+    for template in [*licenses.TEMPLATES.values()] * 6:
+        words = template.split(" ")
+        for _ in range(rng.randrange(4)):
+            words.insert(rng.randrange(len(words) + 1), rng.choice(["en", "und", "x" + str(rng.randrange(99)), "İ", "the"]))
+        if rng.random() < 0.5:
+            del words[rng.randrange(len(words))]
+        texts.append("".join(w + rng.choice([" ", " ", " ", "\n"]) for w in ["intro\n", *words, "\nend"]))
+    table = spark.createDataFrame([(i, f"{i}.txt", t) for i, t in enumerate(texts)], "key long, path string, text string")
+    found = licenses.own_licenses(table).orderBy("key").collect()
+    got = [(r.own, r.own and round(r.similarity, 6)) for r in found]
+    assert got == own_by_hand(texts)
+    assert sum(own is not None for own, _ in got) > 5
+
+
 def distance_one(a, b):
     if abs(len(a) - len(b)) > 1 or a == b:
         return a == b
