@@ -284,9 +284,23 @@ def test_license_weights_count_every_word(spark):
     assert rows_of(found.where("own is not null"), "key", "own") == [(300, "MIT")]
 
 
+def test_wrapped_license_notices(spark):
+    bsd = licenses.TEMPLATES["BSD-3-Clause"]
+    files = [
+        (1, "a/LICENSE", "Copyright someone\n\n" + bsd.replace("without ", "without\n") + "\nand so on"),
+        (2, "a/b.txt", "nothing"),
+        (3, "c.txt", " * released\n * under the\n * MIT license\n"),
+    ]
+    got = rows_of(licenses.scan(spark.createDataFrame(files, "key long, path string, text string")), "key", "license", "how")
+    assert got == [(1, "BSD-3-Clause", "own"), (2, "BSD-3-Clause", "inherited"), (3, "MIT", "own")]
+
+
 def spans_of(lines, size):
     """Words that are compared with a template of ``size`` words."""
-    yield from lines
+    words = [w for line in lines for w in line]
+    yield from [*lines, words]
+    for n in range(size - size // 4, size + size // 4 + 1):
+        yield from (words[i : i + n] for i in range(len(words) - n + 1))
 
 
 def own_by_hand(texts):
@@ -306,6 +320,8 @@ def own_by_hand(texts):
             words = re.findall("[a-z0-9]+", template.lower())
             of = unit(words)
             for span in spans_of(lines, len(words)):
+                if span not in lines and (not span or span[0] not in words) and len(span) < sum(map(len, lines)):
+                    continue  # windows begin with a word of the template
                 cosine = sum(v * of.get(w, 0) for w, v in unit(span).items())
                 if cosine > best[0] + 1e-9 or (best[2] is None and cosine >= 0.8):
                     best = (cosine, name, name)

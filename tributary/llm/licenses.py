@@ -1,8 +1,8 @@
 """Licences of files by sparse TF-IDF cosine, and of their directories by inheritance.
 
-A file has its own licence if any line of its text is near enough to a
-template. Other files take the licence of the licence file in the nearest
-directory above them.
+A file has its own licence if any line of its text, the whole text, or any run
+of about as many words as a template is near enough to that template. Other
+files take the licence of the licence file in the nearest directory above them.
 
 Document frequencies of all words are counted in Spark. Tasks hold those of the
 templates' words and of the most frequent others; any other word weighs at least
@@ -112,13 +112,14 @@ class _Judge:
         self.weights = np.log((1 + total) / (1 + n)) + 1
         self.floor = math.log((1 + total) / (1 + rarest)) + 1
         # by template: the unit vector over the known words, and a last 0 for any other
-        self.units = []
+        self.units, self.sizes = [], []
         for name in self.names:
             own, times = np.unique(cut[name], return_counts=True)
             unit = np.zeros(len(self.known) + 1)
             at = np.searchsorted(self.known, own)
             unit[at] = times * self.weights[at]
             self.units.append(unit / np.linalg.norm(unit))
+            self.sizes.append(len(cut[name]))
 
     def judge(self, texts: pa.Array) -> list[tuple[str | None, float | None, list | None]]:
         """Of each text the licence and cosine, or what needs more weights to decide on."""
@@ -128,16 +129,16 @@ class _Judge:
         sure = at < len(self.known)
         weight = np.append(self.weights, self.floor)[at]
         squares = np.concatenate([[0.0], np.cumsum(weight * weight)])
-        fixed = self._spans(words)
+        last, fixed = words.last(), self._spans(words)
         tried = []
         for number, unit in enumerate(self.units):
             dots = unit[at] * weight
             sums = np.concatenate([[0.0], np.cumsum(dots)])
-            starts, ends = fixed
-            dot = sums[ends] - sums[starts]
-            bound = dot / np.sqrt(squares[ends] - squares[starts])
-            for i in np.flatnonzero(bound >= self.near - SLACK):
-                tried.append((bound[i], number, starts[i], ends[i]))
+            for starts, ends in (fixed, *self._windows(np.flatnonzero(dots), last, self.sizes[number])):
+                dot = sums[ends] - sums[starts]
+                bound = dot / np.sqrt(squares[ends] - squares[starts])
+                for i in np.flatnonzero(bound >= self.near - SLACK):
+                    tried.append((bound[i], number, starts[i], ends[i]))
         by_text = {}
         for one in tried:
             by_text.setdefault(int(np.searchsorted(words.bounds, one[2], "right")) - 1, []).append(one)
@@ -147,10 +148,16 @@ class _Judge:
         return out
 
     def _spans(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Every line that has words, as places among all words."""
+        """Every line and every text that has words, as places among all words."""
         lines = np.searchsorted(words.starts, np.flatnonzero(words.data == 0x0A))
-        edges = np.unique(np.concatenate([lines, words.bounds]))
-        return edges[:-1], edges[1:]
+        edges, texts = np.unique(np.concatenate([lines, words.bounds])), np.unique(words.bounds)
+        return np.concatenate([edges[:-1], texts[:-1]]), np.concatenate([edges[1:], texts[1:]])
+
+    def _windows(self, starts: np.ndarray, last: np.ndarray, size: int):
+        """Runs of words that begin with a word of the template, up to a quarter shorter or longer than it."""
+        for length in range(size - size // 4, size + size // 4 + 1):
+            starts = starts[starts + length <= last[starts]]
+            yield starts, starts + length
 
     def _best(self, spans, hashes, at, sure, weight):
         found, known, pending = (self.near - SLACK), [], []
@@ -212,7 +219,7 @@ def _decided(judged: DataFrame, counts: DataFrame, total: int, near: float) -> D
 
 
 def own_licenses(files: DataFrame, templates: dict[str, str] = TEMPLATES, near: float = NEAR) -> DataFrame:
-    """``files`` with ``own`` and ``similarity``: the nearest template of any line, the first by name on a tie."""
+    """``files`` with ``own`` and ``similarity``: the nearest template of any line or run of words, the first by name on a tie."""
     counts, total = term_counts(files), files.count()
     judge = _Judge(counts, total, templates, near)
 
