@@ -162,6 +162,14 @@ def test_contamination_with_short_and_odd_items(spark, docs):
     assert decontaminate.contamination(docs([]), benchmark).count() == 0
 
 
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark, docs):
+    item = " ".join(f"w{i}" for i in range(12))
+    rows = [(None, item), (None, "clean, without an id"), (1, "some " + item), (1, "clean"), (1, "clean"), (2, None)]
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = rows_of(decontaminate.drop_contaminated(docs(rows), benchmark), "doc_id", "text")
+    assert left == sorted([(None, "clean, without an id"), (1, "clean"), (1, "clean"), (2, None)], key=repr)
+
+
 def test_cascade_order_never_changes_the_verdict(docs):
     table = docs([*ODD, (30, "a fair text of words " * 2 + " ".join(f"w{i}" for i in range(80)))])
     one = quality_cascade.judge(table)

@@ -143,6 +143,12 @@ def contamination(
     key count, but are not listed. One row for each input row; repeated rows are
     judged alike. Empty tables give no rows, or rows without hits.
     """
+    found = _verdicts(docs, benchmark, span, key, item_key)
+    return found.select(F.col("doc_key").alias(key), "n_words", "n_hit", "items")
+
+
+def _verdicts(docs: DataFrame, benchmark: DataFrame, span: int, key: str, item_key: str) -> DataFrame:
+    """``(doc_key, text_hash, n_words, n_hit, items)``, one row for each input row."""
     if span <= GRAM:
         raise ValueError(f"span must be over {GRAM}")
     items = benchmark.select(F.col(item_key).alias("item_key"), "text")
@@ -198,7 +204,8 @@ def contamination(
     )
     same = judged["doc_key"].eqNullSafe(both["hit_key"]) & (judged["text_hash"] == both["hit_hash"])
     return judged.join(both, same, "left").select(
-        F.col("doc_key").alias(key),
+        judged["doc_key"],
+        judged["text_hash"],
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -210,10 +217,8 @@ def _same(a: DataFrame, b: DataFrame):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10) -> DataFrame:
-    """The documents without a word inside any benchmark window; columns stay as they are."""
-    name = "_text_hash"
-    while name in docs.columns:
-        name += "_"
-    bad = contamination(docs, benchmark, span).where("n_hit > 0").select("doc_id").distinct()
-    bad = bad.withColumnRenamed("doc_id", name)
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad[name]), "left_anti")
+    """The documents without a word inside any benchmark window, row by row; columns stay as they are."""
+    bad = _verdicts(docs, benchmark, span, "doc_id", "item_id").where("n_hit > 0")
+    bad = bad.select("doc_key", "text_hash").distinct()
+    same = docs["doc_id"].eqNullSafe(bad["doc_key"]) & (F.xxhash64(docs["text"]) == bad["text_hash"])
+    return docs.join(bad, same, "left_anti")
