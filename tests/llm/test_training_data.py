@@ -186,6 +186,17 @@ def test_cascade_order_never_changes_the_verdict(docs):
     assert quality_cascade.judge(docs([])).count() == 0
 
 
+def test_toxic_marks_are_counted_over_all_training_labels(spark, docs):
+    terms = [f"t{i}xq{i}" for i in range(20)]
+    rows = [(i, f"plain words of row{i} " + (terms[i // 8 % 20] if i % 8 == 0 else "fair")) for i in range(1600)]
+    labels = spark.createDataFrame([(i, 1, int(i % 8 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    held = {r.doc_id for r in labels.where(toxicity.held_out(F.col("doc_id"))).collect()}
+    told = {t.rsplit(" ", 1)[1] for i, t in rows if i % 8 == 0 and i not in held}
+    model = toxicity.train(docs(rows), labels, sample_rows=60)
+    words = toxicity.find_words(toxicity.pa.array(sorted(told)), toxicity.LETTERS)
+    assert len(told) == 20 and np.isin(toxicity.word_hashes(words, lower=True), model.marks).all()
+
+
 def test_toxicity_learns_from_training_labels_only(spark, docs):
     rng = random.Random(5)
     common = [f"word{i}" for i in range(200)]

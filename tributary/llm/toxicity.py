@@ -18,14 +18,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .decontaminate import FILTER_BITS, hash_filter
 from .storage import stored
 from .words import LETTERS, Words, chunks, find_words, mix, signed, word_hashes
 
-SAMPLE_ROWS = 20_000  # labelled rows that marks and the classifier are learned from
+SAMPLE_ROWS = 20_000  # labelled rows that the classifier is fitted to
 BEGINNINGS = (3, 4, 5, 6)  # bytes
-MIN_TOXIC = 3  # toxic rows of the sample that a mark must be in
-MIN_ODDS = 2.0  # log odds of a mark, smoothed
-MARKS = 600
+PRIOR_ROWS = 4.0  # rows of the overall toxic share that a mark's own rows are smoothed with
+MIN_ODDS = 2.0  # log odds of a mark over the overall ones, smoothed
+MARKS = 600  # the strongest; bounds the classifier
+HELD_COUNTS = 1 << 20  # counts that a task gathers before it sends them
 VOTERS = 12  # of whole words, and as many of beginnings
 ROUNDS = 12
 RIDGE = 1.0
@@ -67,33 +69,77 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return sample.where("text is not null").select("text", "toxic").dropDuplicates(["text"])
 
 
-def mine_marks(sample: DataFrame, keep: int = MARKS) -> list[tuple[int, int]]:
-    """The ``keep`` strongest ``(hash, kind)``; counts are by document."""
+def training_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(text, toxic)`` of all labelled training rows; equal texts once, toxic if one of them is.
+
+    A filter of labelled ids, 1 MB whatever their number, keeps most other texts
+    out of the shuffle; the joins are exact.
+    """
+    told = (
+        labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull())
+        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    )
+    held = docs.sparkSession.sparkContext.broadcast(hash_filter(told.select(F.xxhash64("doc_id").alias("hash"))))
+
+    def listed(batches):
+        bits = np.unpackbits(np.frombuffer(held.value, np.uint8), bitorder="little")
+        for batch in batches:
+            place = batch.column("hash").to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+            yield batch.filter(pa.array(bits[place] > 0)).select(["doc_id", "text", "text_hash"])
+
+    usable = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    hashed = usable.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    near = hashed.withColumn("hash", F.xxhash64("doc_id")).mapInArrow(
+        listed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, text_hash long"
+    )
+    picked = (
+        hashed.select("doc_id", "text_hash").join(told, "doc_id")
+        .groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
+    )
+    found = near.join(picked, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
+    return found.select("text", "toxic")
+
+
+def mine_marks(rows: DataFrame, keep: int = MARKS) -> list[tuple[int, int]]:
+    """The ``keep`` strongest ``(hash, kind)`` of ``(text, toxic)``; counts are by document."""
+
+    def merged(held):
+        terms, where = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        kind = np.zeros(len(terms), np.int64)
+        kind[where] = np.concatenate([h[1] for h in held])
+        bad, good = (np.bincount(where, np.concatenate([h[i] for h in held]), len(terms)) for i in (2, 3))
+        columns = [signed(terms), kind, bad.astype(np.int64), good.astype(np.int64)]
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["mark", "kind", "bad", "good"])
 
     def count(batches):
+        held, size = [], 0
         for batch in batches:
             for part in chunks(batch):
                 words = find_words(part.column("text"), LETTERS)
                 toxic = part.column("toxic").to_numpy(zero_copy_only=False) > 0
                 of = words.text_of()
                 for kind, places, hashes in _kinds(words):
-                    pairs = np.unique(np.stack([hashes, of[places].astype(np.uint64)]), axis=1) if len(hashes) else np.zeros((2, 0), np.uint64)
-                    marks, where = np.unique(pairs[0], return_inverse=True)
-                    bad = toxic[pairs[1].astype(np.int64)]
-                    n = np.bincount(where, minlength=len(marks))
-                    n_bad = np.bincount(where, weights=bad, minlength=len(marks)).astype(np.int64)
-                    columns = [signed(marks), np.full(len(marks), kind), n_bad, n - n_bad]
-                    yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["mark", "kind", "bad", "good"])
-
-    totals = sample.agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).first()
-    bad, good = totals[0], totals[1]
-    odds = F.log((F.col("bad") + 0.5) / F.lit(bad + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(good + 1.0))
+                    marks, where = np.unique(hashes, return_inverse=True)
+                    each = np.unique(where * part.num_rows + of[places])
+                    n = np.bincount(each // part.num_rows, minlength=len(marks))
+                    n_bad = np.bincount(each // part.num_rows, toxic[each % part.num_rows], len(marks))
+                    held.append((marks, np.full(len(marks), kind), n_bad, n - n_bad))
+                    size += len(marks)
+                if size > HELD_COUNTS:
+                    yield merged(held)
+                    held, size = [], 0
+        if held:
+            yield merged(held)
+
+    totals = rows.agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).first()
+    overall = (totals[0] + 0.5) / (totals[0] + totals[1] + 1.0)
+    odds = F.log((F.col("bad") + PRIOR_ROWS * overall) / (F.col("good") + PRIOR_ROWS * (1 - overall)))
     found = (
-        sample.mapInArrow(count, "mark long, kind long, bad long, good long")
+        rows.mapInArrow(count, "mark long, kind long, bad long, good long")
         .groupBy("mark", "kind")
         .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-        .where(F.col("bad") >= MIN_TOXIC)
-        .withColumn("odds", odds)
+        .where("bad > 0")
+        .withColumn("odds", odds - math.log(overall / (1 - overall)))
         .where(F.col("odds") >= MIN_ODDS)
         .orderBy((F.col("odds") * F.sqrt("bad")).desc(), "mark")
         .limit(keep)
@@ -218,9 +264,12 @@ def fit(presence: np.ndarray, labels: np.ndarray, counts: np.ndarray, ridge: flo
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, marks: int = MARKS) -> Model:
-    """Learn from the texts of all documents and from training labels; without any, every score is 0."""
+    """Learn from the texts of all documents and from training labels; without any, every score is 0.
+
+    Marks are counted over all training labels; the classifier is fitted to ``sample_rows`` of them.
+    """
     sample = stored(labelled_sample(docs, labels, sample_rows), "toxic-sample")
-    hashes, voter = _deal(mine_marks(sample, marks))
+    hashes, voter = _deal(mine_marks(stored(training_texts(docs, labels), "toxic-training"), marks))
     if not len(hashes):
         return Model(hashes, voter, np.zeros(0), -30.0)
     def present(batches):
