@@ -1,4 +1,4 @@
-"""Repeated passages across documents, located by Aho-Corasick automata.
+"""Repeated passages across documents, found by hashes and marked by Aho-Corasick automata.
 
 Recurring windows of ``window`` words are confirmed first. A task drops, chunk
 by chunk, what repeats inside the chunk: of equal windows only those of the
@@ -6,7 +6,8 @@ smallest doc_id are sent on, so a passage that half of all documents share
 costs one entry a chunk. Entries go, packed, to the shard of their hash, where
 the smallest doc_id of each window decides. Neighbouring confirmed windows then
 make passages; the passages of a run of documents are compiled into one
-automaton, and these documents stream through it. A passage confirmed in a
+automaton, and these documents stream through it, which finds the confirmed
+places again and no others. A passage confirmed in a
 document counts in every document with the same or a larger doc_id: each of its
 windows starts in a smaller one.
 """
