@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import (
+    conversation_repair,
     decontaminate,
+    filter_audit,
     licenses,
     line_dedup,
     mixing,
     quality_cascade,
     simhash,
     substring_dedup,
+    suffix_dedup,
     token_files,
     toxicity,
     url_filter,
@@ -133,6 +136,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_passages(table(spark, sf_dir, "documents"), window=13).drop("kept")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = filter_audit.masks(table(spark, sf_dir, "documents"))
+    return filter_audit.report(found, table(spark, sf_dir, "labels")).drop("filter")
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=400).drop("kept")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_toxicity": op2_toxicity,
@@ -144,4 +160,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
