@@ -49,6 +49,110 @@ SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN reached <= res
 FROM summed WHERE whole + CASE WHEN reached <= rest THEN 1 ELSE 0 END > 0"""
 
 
+def _repair() -> str:
+    """Row by row, the least (cost, audit) of each state of the pattern, with its text."""
+
+    def way(source: str, cost: str, edit: str, turn: str | None, first: bool = False) -> str:
+        """A way one edit longer; ``first`` says that no turn stands before it."""
+        text = f"{source}.text" if turn is None else turn if first else f"{source}.text || chr(10) || {turn}"
+        return f"{{'cost': {source}.cost + {cost}, 'audit': {source}.audit || '{edit}', 'text': {text}}}"
+
+    def least(*ways: tuple[str, str]) -> str:
+        """The least of those ways whose source exists and whose condition holds."""
+        listed = ", ".join(f"CASE WHEN {condition} THEN {way} END" for condition, way in ways)
+        return f"list_sort(list_filter([{listed}], lambda x: x IS NOT NULL))[1]"
+
+    def there(source: str, condition: str = "true") -> str:
+        return f"{source} IS NOT NULL AND {condition}"
+
+    def closed(a: str, b: str, c: str, d: str, name: str, rest: str) -> str:
+        """Ways after inserted turns: first into a user turn, then into an assistant turn."""
+        after_user = least(
+            (there(c), c),
+            (there(a), way(a, "5", "I", "'user:'", True)),
+            (there(b), way(b, "5", "I", "'user:'")),
+            (there(d), way(d, "5", "I", "'user:'")),
+        )
+        half = f"SELECT {rest}, {a} AS e0, {b} AS e1, {after_user} AS e2, {d} AS e3 FROM {name}"
+        then = least((there("e3"), "e3"), (there("e2"), way("e2", "5", "I", "'assistant:'")))
+        return f"SELECT * EXCLUDE (e3), {then} AS e3 FROM ({half})"
+
+    extra = "CASE WHEN fault = 3 THEN 5 ELSE 0 END"
+    paid = f"1 + {extra}"
+    own, user, assistant = "role || ':' || body", "'user:' || body", "'assistant:' || body"
+    live, gone = "fault IN (0, 3)", "2"
+    moved = {
+        "s0": least((there("e0"), way("e0", gone, "D", None))),
+        "s1": least(
+            (there("e1"), way("e1", gone, "D", None)),
+            (there("e0", f"{live} AND initial = 's'"), way("e0", extra, "K", own, True)),
+        ),
+        "s2": least(
+            (there("e2"), way("e2", gone, "D", None)),
+            (there("e0", f"{live} AND initial = 'u'"), way("e0", extra, "K", own, True)),
+            (there("e0", live), way("e0", paid, "R", user, True)),
+            *[(there(e, f"{live} AND initial = 'u'"), way(e, extra, "K", own)) for e in ("e1", "e3")],
+            *[(there(e, live), way(e, paid, "R", user)) for e in ("e1", "e3")],
+        ),
+        "s3": least(
+            (there("e3"), way("e3", gone, "D", None)),
+            (there("e2", f"{live} AND initial = 'a'"), way("e2", extra, "K", own)),
+            (there("e2", live), way("e2", paid, "R", assistant)),
+        ),
+    }
+    ways = ", ".join(f"{value} AS {name}" for name, value in moved.items())
+    kind = "STRUCT(cost BIGINT, audit VARCHAR, text VARCHAR)"
+    return rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+checks AS (
+  SELECT name, xor(list_reduce([4294967295::BIGINT] || [ascii(c)::BIGINT FOR c IN string_split(name, '')],
+    lambda crc, byte: list_reduce([xor(crc, byte)] || [0::BIGINT FOR k IN range(8)],
+      lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)), 4294967295::BIGINT) % 20 AS kind
+  FROM (SELECT DISTINCT name FROM keyed)),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS body,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM keyed JOIN checks USING (name) WHERE kind <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, body, copy) AS pos,
+    row_number() OVER (PARTITION BY conv_id, role, body ORDER BY turn NULLS FIRST, copy) AS again,
+    regexp_extract(body, '([^ 	-
+])[ 	-
+]*$', 1) AS ending
+  FROM damaged),
+rows AS (
+  SELECT conv_id, turn, pos, role, left(role, 1) AS initial, body,
+    CASE WHEN ending = '' THEN 1 WHEN again > 1 THEN 2 WHEN ending NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS earlier
+  FROM numbered),
+ends AS (SELECT conv_id, max(pos) AS last FROM rows GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS pos, {{'cost': 0::BIGINT, 'audit': '', 'text': ''}}::{kind} AS s0,
+    NULL::{kind} AS s1, NULL::{kind} AS s2, NULL::{kind} AS s3 FROM ends
+  UNION ALL
+  SELECT conv_id, pos, {", ".join(f"{s}::{kind} AS {s}" for s in moved)}
+  FROM (SELECT conv_id, pos, {ways}
+        FROM (SELECT w.*, r.role, r.initial, r.body, r.fault
+              FROM ({closed("s0", "s1", "s2", "s3", "walk", "conv_id, pos + 1 AS pos")}) w
+              JOIN rows r ON r.pos = w.pos AND r.conv_id IS NOT DISTINCT FROM w.conv_id))),
+finished AS ({closed("s0", "s1", "s2", "s3", "(SELECT walk.* FROM walk JOIN ends ON walk.conv_id IS NOT DISTINCT FROM ends.conv_id AND pos = last)", "conv_id")}),
+best AS (SELECT conv_id, {least((there("e0"), "e0"), (there("e3"), "e3"))} AS way FROM finished),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(way.cost, 0)::BIGINT AS cost,
+  coalesce(way.audit, '') AS audit, sha256(coalesce(way.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counts ON c.conv_id IS NOT DISTINCT FROM counts.conv_id
+LEFT JOIN best ON c.conv_id IS NOT DISTINCT FROM best.conv_id"""
+
+
 QUERIES = {
     "op1_decontaminate": r"""
 WITH docs AS (
@@ -131,4 +235,63 @@ kept AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
   sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM worded LEFT JOIN kept USING (doc_id)""",
+    "op11_filter_audit": rf"""
+WITH RECURSIVE worded AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part, coalesce({WORDS}, []) AS w FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM worded GROUP BY text),
+judged AS (
+  SELECT doc_id, part, (CASE WHEN len(w) < 100 THEN 1 ELSE 0 END)
+    + (CASE WHEN 100 * list_unique(w) < 80 * len(w) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+    + (CASE WHEN doc_id > first THEN 16 ELSE 0 END) AS mask
+  FROM worded JOIN firsts USING (text)),
+told AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM judged LEFT JOIN told USING (doc_id) GROUP BY part, mask),
+orders AS (
+  SELECT '' AS o
+  UNION ALL
+  SELECT o || f FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f) WHERE NOT contains(o, f)),
+steps AS (
+  SELECT o AS filter_order, step, substr(o, step, 1) AS filter, 1 << (ascii(substr(o, step, 1)) - 65) AS bit,
+    list_sum([0] || [1 << (ascii(substr(o, e, 1)) - 65) FOR e IN range(1, step)])::BIGINT AS gone
+  FROM (SELECT o, unnest(range(1, 6)) AS step FROM orders WHERE length(o) = 5)),
+counted AS (
+  SELECT part, filter_order, step, filter,
+    sum(CASE WHEN mask & (gone | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & bit > 0 AND mask & gone = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit > 0 AND mask & gone > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & bit > 0 AND mask & gone = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & bit > 0 AND mask & gone = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, filter)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
+FROM counted""",
+    "op12_suffix_dedup": r"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (
+  SELECT doc_id, base, substr(h, 2 * base + 1, 1598) AS part
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399, 400)) AS base FROM docs WHERE length(h) >= 800)),
+starts AS (
+  SELECT doc_id, base + i AS i, md5(substr(part, 2 * i + 1, 800)) AS m
+  FROM (SELECT doc_id, base, part, unnest(range(0, length(part) // 2 - 399)) AS i FROM parts)),
+again AS (SELECT m FROM starts GROUP BY m HAVING count(*) > 1),
+hits AS (SELECT doc_id, i FROM starts SEMI JOIN again USING (m)),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS new FROM hits),
+grouped AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(i) AS lo, max(i) + 400 AS hi FROM grouped GROUP BY doc_id, span),
+cut AS (
+  SELECT doc_id, count(*) AS n_spans, sum(hi - lo) AS n_removed, list(lo ORDER BY lo) AS los, list(hi ORDER BY lo) AS his
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE array_to_string(
+    [substr(h, 2 * (CASE WHEN j = 1 THEN 0 ELSE his[j - 1] END) + 1,
+      2 * ((CASE WHEN j > n_spans THEN length(h) // 2 ELSE los[j] END) - (CASE WHEN j = 1 THEN 0 ELSE his[j - 1] END)))
+     FOR j IN range(1, n_spans + 2)], '') END)) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)""",
+    "op13_conversation_repair": _repair(),
 }
