@@ -98,16 +98,16 @@ def nearest_earlier(lines: DataFrame) -> DataFrame:
     )
 
 
-def repeated_lines(docs: DataFrame, min_chars: int = 20) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_chars: int = 1) -> DataFrame:
     """Per document: doc_id, text_hash, n_lines and the numbers (from 0) of the lines to remove.
 
     A line goes if it, or a line at one edit (a character put in, left out or
-    changed), stands earlier in the corpus, in the order of doc_id and line; lines
-    under ``min_chars`` characters stay. Null text has no lines. Rows that repeat a
+    changed), stands earlier in the corpus, in the order of doc_id and line. Empty
+    lines stay, and lines under ``min_chars`` characters where more is asked for. Null text has no lines. Rows that repeat a
     doc_id and a text count as one document; a null doc_id comes first.
     """
     ids = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
-    lines = split_lines(ids, min_chars)
+    lines = split_lines(ids, max(min_chars, 1))
     earliest = nearest_earlier(lines)
     gone = (
         lines.select("place", "h", "g")
@@ -130,8 +130,14 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20) -> DataFrame:
 
 def without_lines(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The documents with those lines taken out of ``text``; other columns stay as they are."""
-    marks = found.select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h"), "removed")
-    same = docs["doc_id"].eqNullSafe(marks["_i"]) & (F.xxhash64(docs["text"]) == marks["_h"])
-    kept = F.expr("array_join(filter(split(_t, '\\n'), (x, i) -> not array_contains(removed, i)), '\\n')")
-    joined = docs.withColumn("_t", docs["text"]).join(marks, same, "left")
-    return joined.select(*[kept.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    free = "_line"
+    while any(c.startswith(free) for c in docs.columns):
+        free += "_"
+    key, text_hash, gone = f"{free}1", f"{free}2", f"{free}3"
+    marks = found.select(
+        F.col("doc_id").alias(key), F.col("text_hash").alias(text_hash), F.col("removed").alias(gone)
+    )
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(text_hash))
+    kept = F.expr(f"array_join(filter(split(text, '\\n'), (x, i) -> not array_contains({gone}, i)), '\\n')")
+    joined = docs.join(marks, same, "left")
+    return joined.select(*[kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])

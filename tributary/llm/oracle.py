@@ -203,7 +203,7 @@ WITH every AS (
   SELECT doc_id, line_no, lines[line_no + 1] AS line
   FROM (SELECT doc_id, lines, unnest(range(0, len(lines))) AS line_no
         FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))),
-long AS (SELECT *, length(line) AS n FROM every WHERE length(line) >= 20),
+long AS (SELECT *, length(line) AS n FROM every WHERE length(line) >= 1),
 firsts AS (SELECT line, n, min(doc_id * 1000000 + line_no) AS place FROM long GROUP BY line, n),
 cells AS (
   SELECT line, n, place, s, 0 AS side, left(line, s // 2) AS half FROM (SELECT *, unnest([n, n - 1]) AS s FROM firsts)
