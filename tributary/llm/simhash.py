@@ -95,7 +95,10 @@ def link(fingerprints: DataFrame, crowded: int = CROWDED) -> DataFrame:
 
 
 def groups(fingerprinted: DataFrame, crowded: int = CROWDED) -> DataFrame:
-    """``(fp, component_id)`` from rows of ``(doc_id, fp)``: the smallest doc_id reachable."""
+    """``(fp, root, component_id)`` from rows of ``(doc_id, fp)``.
+
+    ``root`` names the group, also one without ids; component_id is its smallest doc_id.
+    """
     distinct = stored(
         fingerprinted.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints"
     )
@@ -104,7 +107,7 @@ def groups(fingerprinted: DataFrame, crowded: int = CROWDED) -> DataFrame:
         "root", F.coalesce("root", "fp")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return stored(rooted.join(least, "root").select("fp", "component_id"), "groups")
+    return stored(rooted.join(least, "root").select("fp", "root", "component_id"), "groups")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, crowded: int = CROWDED) -> DataFrame:
@@ -123,23 +126,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, crowded: int = CROWDED) -
 def keep_one(docs: DataFrame, shingle: int = 3, crowded: int = CROWDED) -> DataFrame:
     """The documents with one of each group left: that with the smallest doc_id.
 
-    Columns stay as they are. Rows that repeat a doc_id and a fingerprint count
-    as one document.
+    A document without an id is left only where its whole group has none; of several
+    texts with the chosen id the one of least hash stays. Columns stay as they are.
+    Rows that repeat a doc_id and a text count as one document.
     """
     name = "_simhash"
     while name in docs.columns:
         name += "_"
-    found = stored(
-        with_fingerprint(docs.select("doc_id", "text"), "fp", shingle).drop("text"), "simhash"
-    )
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", "fp")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    found = stored(with_fingerprint(hashed, "fp", shingle).drop("text"), "simhash")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     kept = (
-        found.join(groups(found, crowded).withColumnRenamed("component_id", "_c"), "fp")
-        .withColumn("_c", F.coalesce(F.col("_c").cast("string"), F.hex("fp")))
-        .groupBy("_c")
+        found.join(groups(found, crowded).select("fp", "root"), "fp")
+        .groupBy("root")
         .agg(F.min(first).alias("keep"))
-        .select(F.col("keep.doc_id").alias("_id"), F.col("keep.fp").alias("_fp"))
+        .select(F.col("keep.doc_id").alias("_id"), F.col("keep.text_hash").alias("_hash"))
     )
-    marked = with_fingerprint(docs, name, shingle)
-    same = marked["doc_id"].eqNullSafe(kept["_id"]) & (marked[name] == kept["_fp"])
+    marked = docs.withColumn(name, F.xxhash64("text"))
+    same = marked["doc_id"].eqNullSafe(kept["_id"]) & (marked[name] == kept["_hash"])
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)

@@ -57,16 +57,14 @@ def _kinds(words: Words):
         yield prefix, longer, mix(word_hashes(some, lower=True, prefix=prefix) + np.uint64(prefix))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """``(text, toxic)`` of up to ``rows`` labelled training rows, those of least hash; equal texts once."""
-    picked = (
-        labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull())
-        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
-    )
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most ``rows`` rows
-    return sample.where("text is not null").select("text", "toxic").dropDuplicates(["text"])
+def labelled_sample(training: DataFrame, rows: int) -> DataFrame:
+    """Up to ``rows`` of the labelled texts at hand, those of least hash.
+
+    Labels of documents that are not here have no text, so they use up none of the sample.
+    """
+    place = F.xxhash64("text")
+    last = training.select(place.alias("place")).orderBy("place").limit(rows).agg(F.max("place")).first()[0]
+    return training.where(F.lit(False) if last is None else place <= last)
 
 
 def training_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -264,14 +262,19 @@ def fit(presence: np.ndarray, labels: np.ndarray, counts: np.ndarray, ridge: flo
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, marks: int = MARKS) -> Model:
-    """Learn from the texts of all documents and from training labels; without any, every score is 0.
+    """Learn from the texts of all documents and from training labels.
 
     Marks are counted over all training labels; the classifier is fitted to ``sample_rows`` of them.
+    Without marks, or where the labels of the documents at hand are all alike, every score is 0.
     """
-    sample = stored(labelled_sample(docs, labels, sample_rows), "toxic-sample")
-    hashes, voter = _deal(mine_marks(stored(training_texts(docs, labels), "toxic-training"), marks))
+    nothing = Model(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0), -30.0)
+    training = stored(training_texts(docs, labels), "toxic-training")
+    sample = stored(labelled_sample(training, sample_rows), "toxic-sample")
+    if sample.select((F.col("toxic") > 0).alias("bad")).distinct().count() < 2:
+        return nothing
+    hashes, voter = _deal(mine_marks(training, marks))
     if not len(hashes):
-        return Model(hashes, voter, np.zeros(0), -30.0)
+        return nothing
     def present(batches):
         table = _lookup(hashes)
         for batch in batches:
