@@ -351,6 +351,13 @@ UPSERTED = f"""WITH {TWO_LOADS} SELECT {KEY}, platform_sku, CAST(quantity AS BIG
   unit_price_local, line_total_local, order_status FROM loads
   QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY l_linestatus DESC) = 1"""
 
+EIGHTH = """CAST(CAST((CAST(round(o_totalprice * 100) AS BIGINT) + 4) // 8 * CAST(0.01 AS DECIMAL(4,2))
+  AS DECIMAL(12,2)) AS VARCHAR)"""
+FACT_COLUMNS = f"""{KEY}, CAST(platform_id AS BIGINT) AS platform_id,
+  CASE WHEN product_id IS NULL THEN 0 ELSE 1 END AS product_id, CAST(date_id AS VARCHAR) AS date_id, platform_sku,
+  sku_canonical, CAST(quantity AS BIGINT) AS quantity, {doubles("unit_price_local", "line_total_local")}, currency,
+  {doubles("unit_price_usd", "line_total_usd")}, order_status FROM facts"""
+
 EVENT_ROWS = "SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value FROM events"
 
 QUERIES: dict[str, str] = {
@@ -583,4 +590,31 @@ QUERIES: dict[str, str] = {
         count(*) FILTER (q < 0) AS second_batch,
         CAST(sum(t) + sum(t) FILTER (q < 0) AS DOUBLE) AS total FROM r""",
     "daily_job_revenue": f"WITH {ALL_STAGING}, {FACTS} {REVENUE}",
+    "raw_ids_per_row": f"""WITH r AS (SELECT l_orderkey * 10 + l_linenumber AS venta_id, {WALL} AS wall, {QTY} AS q
+        FROM {LINES}
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey * 10 + l_linenumber ORDER BY {RAW_ID} DESC) = 1)
+      SELECT venta_id, 1 AS batch_id, row_number() OVER (ORDER BY wall, venta_id) AS raw_id FROM r
+      UNION ALL
+      SELECT venta_id, 2, (SELECT count(*) FROM r) + row_number() OVER (ORDER BY wall, venta_id) FROM r WHERE q < 0""",
+    "fact_upsert_ids": f"""WITH {TWO_LOADS}, keyed AS (SELECT *,
+        CAST('0x' || substr(md5({KEY.replace(', ', " || chr(31) || ")}), 1, 8) AS BIGINT) % 16 AS slice FROM loads),
+      one AS (SELECT {KEY}, row_number() OVER (ORDER BY slice, {KEY}) AS sale_id FROM keyed WHERE l_linestatus = 'F'),
+      two AS (SELECT {KEY}, (SELECT count(*) FROM one) + row_number() OVER (ORDER BY slice, {KEY}) AS sale_id
+        FROM keyed WHERE l_linestatus = 'O' AND ({KEY}) NOT IN (SELECT ({KEY}) FROM one))
+      SELECT * FROM one UNION ALL SELECT * FROM two""",
+    "reject_sink_two_runs": f"""WITH {JUDGED} SELECT source_platform AS source_name, CAST(raw_id AS BIGINT) AS raw_id,
+        platform_line_id, reason, CASE WHEN raw_id % 2 = 0 THEN 1 ELSE 2 END AS first_run_id, 2 AS last_run_id
+      FROM judged WHERE reason IS NOT NULL GROUP BY ALL""",
+    "file_progress": """SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 2 = 1 THEN 2 ELSE 4 END AS batch_id,
+      1 AS times, (SELECT count(*) FROM orders) AS ingested FROM orders""",
+    "wrapped_json_split": f"""SELECT o_orderkey AS order_id, '{{"id":' || o_orderkey || ',"date_created":"'
+        || strftime(o_orderdate, '%Y-%m-%d') || 'T21:15:00.000-05:00","status":"' || {raw_status("'mercadolibre'")}
+        || '","buyer":' || CASE WHEN o_orderstatus <> 'P' THEN '{{"email":"b' || o_custkey || '@example.com"}}' ELSE 'null' END
+        || ',"order_items":[' || array_to_string(['{{"item":{{"seller_sku":" mla ' || (o_custkey + i) || '","title":"Part '
+          || (o_custkey + i) || '"}},"quantity":' || i || ',"unit_price":' || {EIGHTH} || '}}'
+          FOR i IN range(1, o_orderkey % 4 + 2)], ',') || ']}}' AS payload
+      FROM orders""",
+    "daily_job_two_days": f"""WITH {ALL_STAGING}, {FACTS} SELECT {FACT_COLUMNS}""",
 }
+QUERIES["tsv_two_headers"] = QUERIES["tsv_source"]
+QUERIES["stage_counts_observed"] = QUERIES["extraction_counts"]

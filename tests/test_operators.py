@@ -200,12 +200,12 @@ def test_stored_upsert_rewrites_touched_buckets_only(spark, table, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(200).select(F.col("id").cast("string").alias("k"), F.lit("old").alias("v"))
     upsert.upsert_table(spark, path, df.schema, df, ["k"], buckets=8)
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("key_bucket=*/*.parquet")}
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("key_bucket=*/*/*.parquet")}
     one = table("k string, v string", [("7", "new")])
     upsert.upsert_table(spark, path, df.schema, one, ["k"], buckets=8)
-    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("key_bucket=*/*.parquet")}
-    untouched = {p.parent for p in before if after.get(p) == before[p]}
-    assert len(untouched) == 7
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("key_bucket=*/*/*.parquet")}
+    assert all(after[p] == before[p] for p in before)
+    assert len({p.parent.parent for p in set(after) - set(before)}) == 1
     got = dict(rows(upsert.read_table(spark, path, df.schema)))
     assert len(got) == 200 and got["7"] == "new" and got["8"] == "old"
 

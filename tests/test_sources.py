@@ -62,12 +62,23 @@ def test_tsv_is_verbatim(spark, tmp_path):
     assert row.ship_state is None and row.source_file == "report.tsv"
 
 
-def test_tsv_with_other_headers_fails(spark, tmp_path):
+def test_tsv_columns_are_found_by_name_in_each_file(spark, tmp_path):
     headers = list(drops.AMAZON_HEADERS)
-    headers[0], headers[1] = headers[1], headers[0]
+    turned = [headers[1], "note", headers[0], *headers[2:]]
+    write(tmp_path / "r" / "a.tsv", "\t".join(headers) + "\n" + "\t".join(f"a{i}" for i in range(15)) + "\n")
+    lines = ["\t".join(turned), "\t".join(["b1", "n", "b0", *[f"b{i}" for i in range(2, 15)]]), "c1\tn\tc0"]
+    write(tmp_path / "r" / "b.tsv", "\n".join([*lines, "", lines[0]]) + "\n")
+    rows = drops.verbatim_tsv(spark, str(tmp_path / "r"), drops.AMAZON_HEADERS).collect()
+    assert sorted((r.source_file, r.amazon_order_id, r.merchant_order_id, r.ship_state) for r in rows) == [
+        ("a.tsv", "a0", "a1", "a14"), ("b.tsv", "b0", "b1", "b14"), ("b.tsv", "c0", "c1", None),
+    ]
+
+
+def test_tsv_without_a_column_fails_with_its_name(spark, tmp_path):
+    headers = ["other" if h == "item-tax" else h for h in drops.AMAZON_HEADERS]
     path = write(tmp_path / "report.tsv", "\t".join(headers) + "\n" + "\t".join("x" * 15) + "\n")
-    with pytest.raises(Exception, match="header"):
-        drops.verbatim_tsv(spark, path, drops.AMAZON_HEADERS).collect()
+    with pytest.raises(ValueError, match="report.tsv: column missing: item-tax"):
+        drops.verbatim_tsv(spark, path, drops.AMAZON_HEADERS)
 
 
 def test_workbook_cells_as_text(spark, tmp_path):

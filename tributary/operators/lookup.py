@@ -49,15 +49,15 @@ def attach_rate(
     )
 
 
-def apply_fx(df: DataFrame, fx: DataFrame, latest: DataFrame) -> DataFrame:
-    """Unit price and line total in USD."""
+def apply_fx(df: DataFrame, fx: DataFrame, latest: DataFrame, rate: str | None = None) -> DataFrame:
+    """Unit price and line total in USD; the rate is kept as the column ``rate`` if one is named."""
     rated = attach_rate(df, fx, latest)
     return rated.withColumns(
         {
             "unit_price_usd": to_usd(F.col("unit_price_local"), F.col("rate_to_usd")),
             "line_total_usd": to_usd(F.col("line_total_local"), F.col("rate_to_usd")),
         }
-    ).drop("rate_to_usd")
+    ).withColumnRenamed("rate_to_usd", rate or "rate_to_usd").drop("rate_to_usd")
 
 
 def map_status(df: DataFrame, statuses: DataFrame) -> DataFrame:

@@ -65,16 +65,32 @@ def key_bucket(keys: list[str], buckets: int) -> Column:
 def surrogate_ids(
     df: DataFrame, keys: list[str], start: int, buckets: int, name: str, known: str | None = None
 ) -> DataFrame:
-    """Unique ids above ``start``, the same on every re-run of a task.
+    """The ids ``start + 1`` to ``start + n`` for n new rows, the same on every re-run of a task.
 
-    Bucket ``b`` of ``B`` takes the ids ``start + 1 + b + B * n``, so no task
-    needs to know the counts of another. ``keys`` must be unique in ``df``. Rows
-    with an id in the column ``known`` keep it and use up no new one.
+    Rows are cut into ``buckets`` slices by the MD5 of their key and counted per
+    slice; a row's id is the count of the slices before its own plus its place in
+    it, by key. ``keys`` must be unique in ``df``, which is read twice. Rows with an
+    id in the column ``known`` keep it and use up no new one.
     """
     fresh = F.lit(True) if known is None else F.col(known).isNull()
-    bucketed = df.withColumns({"_bucket": key_bucket(keys, buckets), "_fresh": fresh})
-    nth = F.row_number().over(Window.partitionBy("_bucket", "_fresh").orderBy(*keys))
-    new_id = F.lit(start) + F.col("_bucket") + (nth - 1).cast("bigint") * buckets + 1
+    text = F.concat_ws("\x1f", *[F.col(k).cast("string") for k in keys])
+    digits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    sliced = df.withColumns({"_slice": (digits % buckets).cast("int"), "_fresh": fresh})
+    # One row a slice; these few are numbered in one task.
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        sliced.where("_fresh")
+        .groupBy("_slice")
+        .agg(F.count("*").alias("_n"))
+        .select("_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    )
+    nth = F.row_number().over(Window.partitionBy("_slice", "_fresh").orderBy(*keys))
+    new_id = F.lit(start) + F.col("_before") + F.col("_nth")
     given = F.lit(None) if known is None else F.col(known)
     ids = F.when(F.col("_fresh"), new_id).otherwise(given).cast("bigint")
-    return bucketed.withColumn(name, ids).drop("_bucket", "_fresh")
+    return (
+        sliced.withColumn("_nth", nth)
+        .join(F.broadcast(offsets), "_slice", "left")  # at most ``buckets`` rows
+        .withColumn(name, ids)
+        .drop("_slice", "_fresh", "_nth", "_before")
+    )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import calendar_parts
+from .ordering import dedupe_by_key, drop_incomplete
 
 
 def calendar(bounds: DataFrame) -> DataFrame:
@@ -53,3 +54,30 @@ def stage_counts(
         F.count_if(~F.col("_complete")).alias("incomplete_dropped"),
         F.count_if(F.col("_complete")).alias("staged"),
     )
+
+
+def observed_stages(
+    extracted: DataFrame, keys: list[str], order_by: list[str], required: list[str]
+) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The staged rows, and their :func:`stage_counts` once these rows have been written.
+
+    The rows are counted as they pass, so no stage is read again for its count.
+    """
+    marks = [Observation() for _ in range(3)]
+
+    def passing(rows: DataFrame, mark: Observation) -> DataFrame:
+        return rows.observe(mark, F.count(F.lit(1)).alias("rows"))
+
+    newest = passing(dedupe_by_key(passing(extracted, marks[0]), keys, order_by), marks[1])
+    staged = passing(drop_incomplete(newest, required), marks[2])
+
+    def counts() -> dict[str, int]:
+        read, distinct, kept = (mark.get["rows"] for mark in marks)
+        return {
+            "extracted": read,
+            "duplicates_dropped": read - distinct,
+            "incomplete_dropped": distinct - kept,
+            "staged": kept,
+        }
+
+    return staged, counts

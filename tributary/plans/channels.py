@@ -6,11 +6,11 @@ normalization, validation and load go over the registry.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,9 @@ EXTRACTED = [
     "line_total_local", "currency", "raw_status", "customer_email",
 ]
 
+# Tasks that rows without an order are spread over.
+SPREAD = 1024
+
 # Ingest order of a line: ``element`` is its place in the order's array.
 LINE_ORDER = [*INGEST_ORDER, "element"]
 
@@ -39,8 +42,10 @@ class Channel:
     """One sales channel.
 
     ``extract`` maps raw rows to ``EXTRACTED`` and ``LINE_ORDER`` columns.
+    ``order_key`` is the order of a raw row: no line depends on rows of another order.
     ``malformed`` gives the reason why a raw row cannot be extracted, or null.
-    ``post_clean`` may replace columns once prices and quantities are parsed.
+    ``post_clean`` may replace columns once prices and quantities are parsed. An
+    ``extract`` that ``numbers_lines`` also takes the orders of very many lines.
     """
 
     name: str
@@ -49,7 +54,8 @@ class Channel:
     raw_table: str
     raw_schema: T.StructType
     read: Callable[[SparkSession, str], DataFrame]
-    extract: Callable[[DataFrame], DataFrame]
+    extract: Callable[..., DataFrame]
+    order_key: Callable[[], Column]
     malformed: Callable[[], Column] | None = None
     date_parser: str = "iso"
     zone: str = "UTC"
@@ -58,6 +64,7 @@ class Channel:
     watermark_column: str | None = None
     lookback: timedelta = timedelta()
     land_order: tuple[str, ...] = ()
+    numbers_lines: bool = False
 
 
 def _no_text() -> Column:
@@ -175,17 +182,45 @@ def extract_mercadolibre(raw: DataFrame) -> DataFrame:
     )
 
 
+def document_id() -> Column:
+    """The order of a document, as the extraction reads it."""
+    return F.from_json("payload", "id string").getField("id")
+
+
 # --- line-level reports --------------------------------------------------------
 
 
-def numbered_lines(raw: DataFrame, order_column: str) -> DataFrame:
+def numbered_lines(raw: DataFrame, order_column: str, crowded: Sequence[str] = ()) -> DataFrame:
     """Number the lines of an order as ``line_pos``; reports have no line id.
 
     A line is known by its order, its SKU and which of the lines of that SKU it is
     inside its batch. An order's lines are numbered by first appearance over all
     batches: a report that lands again finds its own numbers, and lines that come
-    in a later report get new ones.
+    in a later report get new ones. The rows are dealt by order once and read once;
+    rows without an order, which get no number, are spread. Orders in ``crowded``
+    are numbered slice by slice, by many tasks.
     """
+    if crowded:
+        many = F.coalesce(F.col(order_column).isin(list(crowded)), F.lit(False))
+        few = numbered_lines(raw.where(~many), order_column)
+        return few.unionByName(_numbered_by_slice(raw.where(many), order_column))
+    apart = F.when(F.col(order_column).isNull(), F.pmod("raw_id", F.lit(SPREAD)))
+    rows = raw.withColumns({"_sku": F.coalesce("sku", F.lit("")), "_apart": apart})
+    order = [order_column, "_apart"]
+    alike = Window.partitionBy(*order, "batch_id", "_sku").orderBy("source_file", "raw_id")
+    line = Window.partitionBy(*order, "_sku", "_nth")
+    return (
+        rows.repartition(*order)
+        .withColumn("_nth", F.row_number().over(alike))
+        .withColumn("_first", F.min(F.struct(*INGEST_ORDER)).over(line))
+        .withColumn("line_pos", F.dense_rank().over(Window.partitionBy(*order).orderBy("_first")))
+        .drop("_sku", "_apart", "_nth", "_first")
+        .withColumn("element", F.lit(0))
+    )
+
+
+def _numbered_by_slice(raw: DataFrame, order_column: str) -> DataFrame:
+    """The same for orders that no task should hold: the lines are joined with their numbers."""
     nth = line_position(
         raw.withColumn("_sku", F.coalesce("sku", F.lit(""))),
         ["batch_id", order_column, "_sku"],
@@ -204,8 +239,8 @@ def numbered_lines(raw: DataFrame, order_column: str) -> DataFrame:
     return nth.join(positions, line, "left").drop("_sku", "_nth").withColumn("element", F.lit(0))
 
 
-def extract_amazon(raw: DataFrame) -> DataFrame:
-    return numbered_lines(raw, "amazon_order_id").select(
+def extract_amazon(raw: DataFrame, crowded: Sequence[str] = ()) -> DataFrame:
+    return numbered_lines(raw, "amazon_order_id", crowded).select(
         *LINE_ORDER,
         F.col("amazon_order_id").alias("platform_order_id"),
         F.concat("amazon_order_id", F.lit("-"), "line_pos").alias("platform_line_id"),
@@ -229,8 +264,8 @@ def amazon_line_total(df: DataFrame) -> DataFrame:
     return df.withColumn("line_total_local", total)
 
 
-def extract_tiendanube(raw: DataFrame) -> DataFrame:
-    return numbered_lines(raw, "n_orden").select(
+def extract_tiendanube(raw: DataFrame, crowded: Sequence[str] = ()) -> DataFrame:
+    return numbered_lines(raw, "n_orden", crowded).select(
         *LINE_ORDER,
         F.col("n_orden").alias("platform_order_id"),
         F.concat("n_orden", F.lit("-"), "line_pos").alias("platform_line_id"),
@@ -280,6 +315,7 @@ SHOPIFY = Channel(
     raw_schema=schemas.JSON_ORDERS,
     read=lambda spark, path: drops.wrapped_json(spark, path, "orders"),
     extract=extract_shopify,
+    order_key=document_id,
     malformed=lambda: json_malformed(SHOPIFY_ORDER, "created_at", "line_items"),
 )
 MERCADOLIBRE = Channel(
@@ -290,6 +326,7 @@ MERCADOLIBRE = Channel(
     raw_schema=schemas.JSON_ORDERS,
     read=lambda spark, path: drops.wrapped_json(spark, path, "results"),
     extract=extract_mercadolibre,
+    order_key=document_id,
     malformed=lambda: json_malformed(MERCADOLIBRE_ORDER, "date_created", "order_items"),
 )
 AMAZON = Channel(
@@ -300,6 +337,8 @@ AMAZON = Channel(
     raw_schema=schemas.AMAZON_SHIPMENTS,
     read=lambda spark, path: drops.verbatim_tsv(spark, path, drops.AMAZON_HEADERS),
     extract=extract_amazon,
+    order_key=lambda: F.col("amazon_order_id"),
+    numbers_lines=True,
     post_clean=amazon_line_total,
 )
 TIENDANUBE = Channel(
@@ -310,6 +349,8 @@ TIENDANUBE = Channel(
     raw_schema=schemas.TIENDANUBE_VENTAS,
     read=workbook,
     extract=extract_tiendanube,
+    order_key=lambda: F.col("n_orden"),
+    numbers_lines=True,
     date_parser="dmy",
     zone=LIMA,
 )
@@ -321,6 +362,7 @@ POS = Channel(
     raw_schema=schemas.POS_VENTAS,
     read=lambda spark, path: drops.table_snapshot(spark, path, schemas.POS_VENTAS),
     extract=extract_pos,
+    order_key=lambda: F.col("venta_id").cast("string"),
     date_parser="naive",
     zone=LIMA,
     watermark_column="fecha_venta",

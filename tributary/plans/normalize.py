@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Self
 
@@ -109,30 +110,38 @@ def typed(df: DataFrame) -> DataFrame:
     )
 
 
-def prepare(raw: DataFrame, channel: Channel, reference: Reference) -> DataFrame:
+def prepare(
+    raw: DataFrame, channel: Channel, reference: Reference, crowded: Sequence[str] = ()
+) -> DataFrame:
     """Extract, clean, dedupe and convert the rows of a channel; not yet typed.
 
     Texts are parsed below the dedupe: a filter on parsed values cannot move below
     it, so that nothing is parsed twice. The lookups come after it, see fewer rows
     and neither add nor drop any. A malformed document yields no lines, or lines
-    without key or time; :func:`malformed` names it.
+    without key or time; :func:`malformed` names it. ``crowded`` lists orders of
+    very many lines, for the channels that number their lines.
     """
-    lines = newest_lines(clean(channel.extract(raw), channel))
-    return map_status(apply_fx(lines, reference.fx, reference.latest_fx), reference.statuses)
-
-
-def judged(raw: DataFrame, channel: Channel, reference: Reference) -> DataFrame:
-    """All lines of a channel in staging types, with the ``refusal`` of those that do not fit."""
-    prepared = prepare(raw, channel, reference)
+    extracted = channel.extract(raw, crowded) if channel.numbers_lines else channel.extract(raw)
+    lines = newest_lines(clean(extracted, channel))
+    rated = apply_fx(lines, reference.fx, reference.latest_fx, "applied_rate")
+    return map_status(rated, reference.statuses)
+
+
+def judged(
+    raw: DataFrame, channel: Channel, reference: Reference, crowded: Sequence[str] = ()
+) -> DataFrame:
+    """All lines of a channel as staging keeps them, with the ``refusal`` of those that do not fit."""
+    prepared = prepare(raw, channel, reference, crowded)
+    kept = [f for f in schemas.STAGED_SALES if f.name != "refusal"]
     return prepared.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.STAGING],
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in kept],
         refusal(prepared).alias("refusal"),
     )
 
 
 def normalize(raw: DataFrame, channel: Channel, reference: Reference) -> DataFrame:
     """The staging rows of a channel."""
-    return judged(raw, channel, reference).where("refusal IS NULL").drop("refusal")
+    return judged(raw, channel, reference).where("refusal IS NULL").select(*schemas.STAGING.names)
 
 
 def malformed(raw: DataFrame, channel: Channel) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..literals import literal_table
 from ..functions import (
     calendar_parts,
     clean_sku,
@@ -41,10 +42,10 @@ from ..operators.lookup import (
     unmapped_totals,
 )
 from ..operators.ordering import dedupe_by_key, drop_incomplete, line_position, surrogate_ids
-from ..operators.reshape import stage_counts, union_channels, unpivot_catalog
+from ..operators.reshape import observed_stages, stage_counts, union_channels, unpivot_catalog
 from ..operators.upsert import insert_absent, merge_rows, read_table, upsert_table
 from ..session import configure, scratch_dir
-from ..sources import drops, landing
+from ..sources import drops, landing, split_json
 from ..sources.workbook import decode_workbooks
 from ..streaming.incremental import append_new_files, file_stream, upsert_new_files
 from . import channels, daily, sample, warehouse
@@ -913,7 +914,7 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- file sources ------------------------------------------------------------------------------------
 
 
-def write_wrapped_json(documents: DataFrame, path: str, wrapper: str) -> None:
+def write_wrapped_json(documents: DataFrame, path: str, wrapper: str, mode: str = "error") -> None:
     """Write documents as files of one object each, the documents in one array."""
 
     def wrap(batches):
@@ -930,13 +931,14 @@ def write_wrapped_json(documents: DataFrame, path: str, wrapper: str) -> None:
                 separator = ","
         yield pd.DataFrame({"value": ["]}"]})
 
-    documents.select("payload").mapInPandas(wrap, "value string").write.text(path)
+    documents.select("payload").mapInPandas(wrap, "value string").write.mode(mode).text(path)
 
 
-def write_tsv(rows: DataFrame, path: str, headers: dict[str, str]) -> None:
+def write_tsv(rows: DataFrame, path: str, headers: dict[str, str], mode: str = "error") -> None:
     report = rows.select(*[F.col(new).alias(old) for old, new in headers.items()])
     (
-        report.write.option("sep", "\t")
+        report.write.mode(mode)
+        .option("sep", "\t")
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -993,6 +995,18 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def raw_ids_per_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Till sales landed in two batches, the second of returns: ids without a gap, by time and number."""
+    path = scratch_dir(spark, "raw-ids")
+    till = dedupe_by_key(sample.raw_pos(spark, sf_dir), ["venta_id"], ["raw_id"])
+    rows = till.select(*schemas.POS_VENTAS.names)
+    order, key = list(channels.POS.land_order), channels.POS.order_key()
+    landing.land(spark, rows, path, schemas.POS_VENTAS, 1, order, key)
+    landing.land(spark, rows.where("cantidad < 0"), path, schemas.POS_VENTAS, 2, order, key)
+    return landing.read_raw(spark, path, schemas.POS_VENTAS).select("venta_id", "batch_id", "raw_id")
+
+
 def _sample_channels() -> dict[str, channels.Channel]:
     """The registry, the workbook channel reading its sheet exported as text."""
     as_text = replace(
@@ -1002,26 +1016,61 @@ def _sample_channels() -> dict[str, channels.Channel]:
     return {**channels.CHANNELS, "tiendanube": as_text}
 
 
-def daily_store(spark: SparkSession, sf_dir: str) -> daily.Store:
-    """Drops of all channels written, reference tables seeded, the daily job run."""
-    base = scratch_dir(spark, "daily")
-    raw = {n: build(spark, sf_dir, n).orderBy("raw_id") for n, build in sample.RAW.items()}
-    sources = {name: f"{base}/drops/{name}" for name in raw}
+def _write_drops(
+    spark: SparkSession, sf_dir: str, folder: str, orders: Column | None = None, till: Column | None = None
+) -> dict[str, str]:
+    """Drops of all channels: of the orders that ``orders`` picks by ``_order``, and of the till as it stands."""
+    sources = {name: f"{folder}/{name}" for name in sample.RAW}
+    raw = {}
+    for name, build in sample.RAW.items():
+        rows = build(spark, sf_dir, name).withColumn("_order", channels.CHANNELS[name].order_key().cast("bigint"))
+        raw[name] = (rows if orders is None else rows.where(orders)).drop("_order").orderBy("raw_id")
     write_wrapped_json(raw["shopify"], sources["shopify"], "orders")
     write_wrapped_json(raw["mercadolibre"], sources["mercadolibre"], "results")
     write_tsv(raw["amazon"], sources["amazon"], drops.AMAZON_HEADERS)
     write_tsv(raw["tiendanube"], sources["tiendanube"], drops.TIENDANUBE_HEADERS)
-    till = dedupe_by_key(sample.raw_pos(spark, sf_dir, "pos"), ["venta_id"], ["raw_id"])
-    till.select(*schemas.POS_VENTAS.names).write.parquet(sources["pos"])
+    sales = dedupe_by_key(sample.raw_pos(spark, sf_dir, "pos"), ["venta_id"], ["raw_id"])
+    sales = sales if till is None else sales.where(till)
+    sales.select(*schemas.POS_VENTAS.names).write.parquet(sources["pos"])
+    return sources
 
-    store = daily.Store(spark, f"{base}/warehouse", channels=_sample_channels())
+
+def _seeded_store(spark: SparkSession, sf_dir: str, root: str) -> daily.Store:
+    store = daily.Store(spark, root, channels=_sample_channels())
     daily.seed_reference(
         store,
         sample.fx_rates(spark, sf_dir),
         sample.products(spark, sf_dir),
         mapping(spark, sf_dir),
     )
-    daily.run(store, sources, as_of=datetime(2002, 1, 1))
+    return store
+
+
+RUN_AT = datetime(2002, 1, 1)
+
+
+def daily_store(spark: SparkSession, sf_dir: str) -> daily.Store:
+    """Drops of all channels written, reference tables seeded, the daily job run."""
+    base = scratch_dir(spark, "daily")
+    sources = _write_drops(spark, sf_dir, f"{base}/drops")
+    store = _seeded_store(spark, sf_dir, f"{base}/warehouse")
+    daily.run(store, sources, as_of=RUN_AT)
+    return store
+
+
+def two_day_store(spark: SparkSession, sf_dir: str) -> daily.Store:
+    """The same in two runs: half of the orders, then the others and half of the first ones again.
+
+    A quarter of the orders is in the first batch alone. The till is the table as
+    it stands on the day, so the second run reads its newer sales only.
+    """
+    base = scratch_dir(spark, "two-days")
+    store = _seeded_store(spark, sf_dir, f"{base}/warehouse")
+    early = F.col("fecha_venta") < F.lit(datetime(1995, 6, 1))
+    days = [(F.col("_order") % 2 == 1, early), (F.col("_order") % 4 != 1, None)]
+    for day, (orders, till) in enumerate(days):
+        sources = _write_drops(spark, sf_dir, f"{base}/day{day}", orders, till)
+        daily.run(store, sources, as_of=RUN_AT)
     return store
 
 
@@ -1030,3 +1079,95 @@ def daily_job_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drops to monthly revenue through every stored layer."""
     daily.create_views(daily_store(spark, sf_dir))
     return spark.table("v_revenue_monthly")
+
+
+@query
+def daily_job_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fact after two daily runs, the second one of the affected orders alone."""
+    store = two_day_store(spark, sf_dir)
+    return store.read("core/fact_sales").select(
+        *schemas.NATURAL_KEY, "platform_id", "product_id", "date_id", "platform_sku", "sku_canonical",
+        "quantity", "unit_price_local", "line_total_local", "currency", "unit_price_usd",
+        "line_total_usd", "order_status",
+    ).withColumn("product_id", F.col("product_id").isNotNull().cast("int"))
+
+
+@query
+def fact_upsert_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of two loads: known keys keep theirs, new ones go on without a gap."""
+    key = schemas.NATURAL_KEY
+    path = scratch_dir(spark, "fact-ids")
+    schema = T.StructType([*[T.StructField(k, T.StringType()) for k in key], T.StructField("sale_id", T.LongType())])
+    for load in _two_loads(spark, sf_dir):
+        rows = daily.with_ids(read_table(spark, path, schema), load.select(*key), key, "sale_id", 16)
+        upsert_table(spark, path, schema, rows, key, buckets=8, keep=["sale_id"])
+    return read_table(spark, path, schema)
+
+
+@query
+def reject_sink_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of half of the raw rows, then of all: each once, with the runs that met it first and last."""
+    store = daily.Store(spark, scratch_dir(spark, "rejects"))
+    lines = quality.with_reason(faulty_lines(spark, sf_dir), F.lit(AS_OF))
+    rejects = quality.rejected_rows(lines)
+    daily.write_rejects(store, rejects.where("raw_id % 2 = 0"), 1)
+    daily.write_rejects(store, rejects, 2)
+    return store.read("ops/rejected_rows").select(*schemas.REJECT_KEY, "first_run_id", "last_run_id")
+
+
+@query
+def file_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in two files that come one after the other, with runs between: each file is landed once."""
+    base = scratch_dir(spark, "progress")
+    store, channel = daily.Store(spark, f"{base}/warehouse"), channels.MERCADOLIBRE
+    documents = sample.mercadolibre_documents(spark, sf_dir)
+    started = datetime(2024, 1, 1)
+
+    def ingest(run: int) -> None:
+        daily.ingest_new_files(store, channel, f"{base}/drop", run, started)
+
+    ingest(1)
+    write_wrapped_json(documents.where("order_id % 2 = 1"), f"{base}/drop", "results")
+    ingest(2)
+    ingest(3)
+    write_wrapped_json(documents.where("order_id % 2 = 0"), f"{base}/drop", "results", "append")
+    ingest(4)
+    daily.ingest_new_files(store, channel, f"{base}/no-drop", 5, started)
+    landed = store.raw(channel).groupBy("batch_id", "order_id").agg(F.count("*").alias("times"))
+    mark = store.read("ops/etl_checkpoints").first()
+    return landed.withColumn("ingested", F.lit(mark.rows_ingested))
+
+
+@query
+def wrapped_json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in one file, cut at the ends of its elements; the text of each whole."""
+    path = f"{scratch_dir(spark, 'json-split')}/drop"
+    documents = sample.mercadolibre_documents(spark, sf_dir).coalesce(1)
+    write_wrapped_json(documents, path, "results")
+    rows = split_json.elements(spark, path, "results")
+    return rows.select(F.get_json_object("payload", "$.id").cast("bigint").alias("order_id"), "payload")
+
+
+@query
+def tsv_two_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report in two layouts: the columns in order, and reversed with one more in front."""
+    path = f"{scratch_dir(spark, 'tsv-layouts')}/drop"
+    rows = sample.raw_amazon(spark, sf_dir)
+    odd = F.col("amazon_order_id").cast("bigint") % 2 == 1
+    write_tsv(rows.where(odd), path, drops.AMAZON_HEADERS)
+    turned = {"note": "note", **dict(reversed(drops.AMAZON_HEADERS.items()))}
+    write_tsv(rows.where(~odd).withColumn("note", F.lit("n")), path, turned, "append")
+    return drops.verbatim_tsv(spark, path, drops.AMAZON_HEADERS).drop(*drops.POSITION.names)
+
+
+@query
+def stage_counts_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of the staging step, observed while its rows are written."""
+    lines = cleaned_lines(spark, sf_dir).withColumn(
+        "quantity", F.when(F.col("quantity") >= 0, F.col("quantity"))
+    )
+    rows, counts = observed_stages(lines, schemas.NATURAL_KEY, ["raw_id"], REQUIRED)
+    rows.write.format("noop").mode("overwrite").save()
+    found = counts()
+    schema = schemas.struct(", ".join(f"{name} bigint" for name in found))
+    return literal_table(spark, [tuple(found.values())], schema)

@@ -67,8 +67,8 @@ STAGING = struct(
     f"line_total_usd {AMOUNT}, order_status string, customer_email string, raw_id bigint"
 )
 
-# Staging as stored: rows that do not fit the types above say why.
-STAGED_SALES = T.StructType([*STAGING.fields, T.StructField("refusal", T.StringType())])
+# Staging as stored: with the rate that was applied, and rows that do not fit the types above say why.
+STAGED_SALES = T.StructType([*STAGING.fields, *struct(f"applied_rate {RATE}, refusal string").fields])
 
 NATURAL_KEY = ["source_platform", "platform_order_id", "platform_line_id"]
 
@@ -87,7 +87,7 @@ DIM_PLATFORM = struct(
     "is_active boolean"
 )
 DIM_PRODUCT = struct(
-    "product_id int, sku_canonical string, product_name string, category string, "
+    "product_id bigint, sku_canonical string, product_name string, category string, "
     "base_price_usd decimal(12,2), is_active boolean, loaded_at timestamp"
 )
 DIM_DATE = struct(
@@ -95,7 +95,7 @@ DIM_DATE = struct(
     "day_of_week int, day_name string, week_of_year int, is_weekend boolean"
 )
 FACT_SALES = struct(
-    "sale_id bigint, platform_id smallint, product_id int, date_id date, "
+    "sale_id bigint, platform_id smallint, product_id bigint, date_id date, "
     "source_platform string, platform_order_id string, platform_line_id string, "
     "platform_sku string, sku_canonical string, order_dt_utc timestamp, quantity int, "
     f"unit_price_local {AMOUNT}, discount_local {AMOUNT}, tax_local {AMOUNT}, "
@@ -106,9 +106,11 @@ FACT_SALES = struct(
 ETL_CHECKPOINTS = struct(
     "source_name string, last_watermark timestamp, updated_at timestamp, rows_ingested bigint"
 )
+# One row for each reason of a raw row's line, however often it is met.
+REJECT_KEY = ["source_name", "raw_id", "platform_line_id", "reason"]
 REJECTED_ROWS = struct(
-    "run_id bigint, source_name string, raw_id bigint, reason string, payload string, "
-    "rejected_at timestamp"
+    "source_name string, raw_id bigint, platform_line_id string, reason string, payload string, "
+    "first_run_id bigint, last_run_id bigint, rejected_at timestamp, last_rejected_at timestamp"
 )
 UNMAPPED_SKUS = struct(
     "source_name string, platform_sku string, occurrences bigint, first_seen_at timestamp, "

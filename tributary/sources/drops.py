@@ -1,12 +1,12 @@
 """Readers for the channels' drops. An absent drop is an empty DataFrame.
 
-Every reader adds ``source_file``, ``file_block`` (where the split starts) and
-``file_row`` (position of an element of a wrapped array), which the landing
-turns into the ingest order.
+Every reader adds ``source_file``, which the landing keeps, ``file_block`` (where
+the split starts) and ``file_row`` (position of an element of a wrapped array).
 """
 
 from __future__ import annotations
 
+import csv
 import logging
 from collections.abc import Callable
 from datetime import timedelta
@@ -18,11 +18,15 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..literals import literal_table
+from . import split_json
 
 log = logging.getLogger(__name__)
 
 POSITION = schemas.struct("source_file string, file_block bigint, file_row int")
 
+# A JSON file up to this size is parsed as one row.
+WHOLE_BYTES = 64 << 20
+
 # Report headers and the raw columns they become.
 AMAZON_HEADERS = {
     "amazon-order-id": "amazon_order_id",
@@ -79,23 +83,22 @@ def present_or_empty(
         return literal_table(spark, [], T.StructType([*schema.fields, *POSITION.fields]))
 
 
-def wrapped_json(spark: SparkSession, path: str, wrapper: str) -> DataFrame:
+def wrapped_json(
+    spark: SparkSession, path: str | list[str], wrapper: str, whole_bytes: int = WHOLE_BYTES
+) -> DataFrame:
     """Files of one JSON object each; one row per element of its ``wrapper`` array.
 
     Elements stay verbatim text, so that a missing key can still be told from an
     explicit null. A file without the wrapper yields no rows; a broken file fails.
+    A drop with a file of more than ``whole_bytes``, by its listing, is cut at the
+    ends of its elements and read by many tasks; else each file is one row of one.
     """
 
     def read() -> DataFrame:
-        documents = (
-            spark.read.schema(f"`{wrapper}` array<string>")
-            .option("multiLine", True)
-            .option("mode", "FAILFAST")
-            .json(path)
-        )
-        position = F.posexplode(wrapper).alias("file_row", "payload")
-        elements = documents.select(*_file_position()[:2], position)
-        return elements.select(
+        sizes = spark.read.format("binaryFile").load(path).select("length")
+        large = (sizes.agg(F.max("length")).first()[0] or 0) > whole_bytes
+        rows = split_json.elements(spark, path, wrapper) if large else _whole_json(spark, path, wrapper)
+        return rows.select(
             F.get_json_object("payload", "$.id").try_cast("bigint").alias("order_id"),
             "payload",
             *POSITION.names,
@@ -104,32 +107,81 @@ def wrapped_json(spark: SparkSession, path: str, wrapper: str) -> DataFrame:
     return present_or_empty(spark, read, schemas.JSON_ORDERS)
 
 
-def verbatim_tsv(spark: SparkSession, path: str, headers: dict[str, str]) -> DataFrame:
+def _whole_json(spark: SparkSession, path: str | list[str], wrapper: str) -> DataFrame:
+    documents = (
+        spark.read.schema(f"`{wrapper}` array<string>")
+        .option("multiLine", True)
+        .option("mode", "FAILFAST")
+        .json(path)
+    )
+    position = F.posexplode(wrapper).alias("file_row", "payload")
+    return documents.select(*_file_position()[:2], position)
+
+
+def verbatim_tsv(spark: SparkSession, path: str | list[str], headers: dict[str, str]) -> DataFrame:
     """Tab-separated text, every column kept as text; only the empty field is null.
 
-    The header line must name the columns in the order of ``headers``.
+    The first line of each file names its columns, in any order and with others
+    among them; a file that lacks one of ``headers`` fails with the column's name.
+    A field may be quoted, a quote in it doubled. Lines that repeat the header are
+    left out; a short line has nulls.
     """
-    text = T.StructType([T.StructField(name, T.StringType()) for name in headers])
     renamed = T.StructType([T.StructField(name, T.StringType()) for name in headers.values()])
 
     def read() -> DataFrame:
-        rows = (
-            spark.read.schema(text)
-            .option("sep", "\t")
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("escape", '"')
-            .csv(path)
+        lines = spark.read.text(path)
+        first = (
+            lines.where(F.col("_metadata.file_block_start") == 0)
+            .select(
+                F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("_at")
+            )
+            .groupBy("_file")
+            .agg(F.min_by("value", "_at").alias("_header"))
+        )
+        # One row a layout, however many files there are.
+        layouts = first.groupBy("_header").agg(F.min("_file").alias("file")).collect()
+        rows = lines.select("value", *_file_position(), F.col("_metadata.file_path").alias("_file"))
+        places = {row["_header"]: _places(row["_header"], row["file"], headers) for row in layouts}
+        if len(places) == 1:
+            rows = rows.withColumn("_header", F.lit(next(iter(places))))
+        else:
+            rows = rows.join(first, "_file")
+        widest = max((len(_fields(h)) for h in places), default=1)
+        cells = F.from_csv(
+            "value",
+            T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(widest)]).simpleString()[7:-1].replace(":", " "),
+            {"sep": "\t", "escape": '"', "mode": "PERMISSIVE"},
         )
-        fields = [F.nullif(F.col(f"`{old}`"), F.lit("")).alias(new) for old, new in headers.items()]
-        return rows.select(*fields, *_file_position())
+        split = rows.where(F.col("value") != F.col("_header")).where("value <> ''").withColumn("_cells", cells)
+
+        def column(name: str) -> Column:
+            found = F.lit(None).cast("string")
+            for header, place in places.items():
+                cell = F.col("_cells").getField(f"c{place[name]}")
+                found = cell if len(places) == 1 else F.when(F.col("_header") == header, cell).otherwise(found)
+            return F.nullif(found, F.lit(""))
+
+        return split.select(*[column(old).alias(new) for old, new in headers.items()], *POSITION.names)
 
     return present_or_empty(spark, read, renamed)
 
 
+def _fields(header: str) -> list[str]:
+    return next(csv.reader([header.removeprefix("\ufeff")], delimiter="\t"), [])
+
+
+def _places(header: str, file: str, headers: dict[str, str]) -> dict[str, int]:
+    """Where each column stands in a file with this header line."""
+    found = {name: i for i, name in reversed(list(enumerate(_fields(header))))}
+    missing = [name for name in headers if name not in found]
+    if missing:
+        raise ValueError(f"{file}: column missing: {', '.join(missing)}")
+    return found
+
+
 def table_snapshot(
     spark: SparkSession,
-    source: str,
+    source: str | list[str],
     schema: T.StructType,
     jdbc: dict[str, str] | None = None,
 ) -> DataFrame:
@@ -143,7 +195,7 @@ def table_snapshot(
         return spark.read.format("jdbc").options(dbtable=source, **jdbc).load().select(*schema.names)
     return present_or_empty(
         spark,
-        lambda: spark.read.schema(schema).parquet(source),
+        lambda: spark.read.schema(schema).parquet(*([source] if isinstance(source, str) else source)),
         schema,
     ).select(*schema.names)
 
