@@ -11,8 +11,9 @@ Neighbouring suffixes mostly share it, so one entry stands for the whole run of
 suffixes with one anchor, and one place in about 150 is sent instead of every one.
 Equal runs, by a 128-bit digest of all their bytes, are repeated through and through.
 Runs that share the anchor but differ go on: the second digit is a window's bytes
-less up to ``STRIDE`` at either end, the same for a stride of suffixes, and the last
-digit the whole window, taken only of suffixes that still have company.
+less up to ``STRIDE`` at either end, the same for a stride of suffixes. A stride whose
+bytes are all equal to another's is repeated as a whole; only of strides that share
+the second digit but differ at an end is the last digit taken, the whole window.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ PLACE_BITS = 24
 
 ENTRY = "k1 long, k2 long, g long, a long, left int, right int, h1 long, h2 long, n long"
 CONTEXT = "k1 long, k2 long, a long, g long, left int, right int, n long, bytes binary"
-COARSE = "k1 long, k2 long, a long, g long, digit int, c1 long, c2 long, n long"
+COARSE = "k1 long, k2 long, a long, g long, digit int, c1 long, c2 long, low int, high int, s1 long, s2 long, n long"
 FINE = "k1 long, k2 long, start long, g long, d int, f1 long, f2 long, n long"
 
 
@@ -263,44 +264,61 @@ def repeated_starts(keyed: DataFrame, window: int, gram: int) -> DataFrame:
             k1, k2, a, g, left, right, n = _numbers(batch, "k1", "k2", "a", "g", "left", "right", "n")
             row, digit = _ranged(right // STRIDE, left // STRIDE)
             anchor = (offsets[:-1] + left)[row]
-            start = anchor - STRIDE * digit
-            end = anchor + np.maximum(gram, window - STRIDE * (digit + 1))
-            hashes = [signed(Sums(data, i).spans(start, end)) for i in (0, 1)]
-            yield _table([k1[row], k2[row], a[row], g[row], digit, *hashes, n[row]], COARSE)
-
+            low = np.maximum(STRIDE * digit, right[row])
+            high = np.minimum(STRIDE * digit + STRIDE - 1, left[row])
+            core = anchor - STRIDE * digit, anchor + np.maximum(gram, window - STRIDE * (digit + 1))
+            stride = anchor - high, anchor - low + window
+            sums = [Sums(data, i) for i in (0, 1)]
+            cores, strides = ([signed(s.spans(*span)) for s in sums] for span in (core, stride))
+            yield _table([k1[row], k2[row], a[row], g[row], digit, *cores, low, high, *strides, n[row]], COARSE)
+
+    # The second pass, with strides for what runs were in the first.
     second = stored(contexts.mapInArrow(coarse, COARSE), "suffix-second")
-    group = ["g", "digit", "c1", "c2"]
-    shared = second.groupBy(*group).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    group, stride = ["g", "digit", "c1", "c2"], ["low", "high", "s1", "s2"]
+    strides = stored(
+        second.groupBy(*group, *stride).agg(
+            F.count("*").alias("_strides"), F.max("n").alias("n"), *[F.first(c).alias(c) for c in ("k1", "k2", "a")]
+        ),
+        "suffix-strides",
+    )
+    whole_strides = (
+        second.where("n = 1")
+        .join(strides.where("_strides > 1").select(*group, *stride), [*group, *stride], "left_semi")
+        .select("k1", "k2", (F.col("a") - F.col("high")).alias("first"), (F.col("a") - F.col("low")).alias("last"))
+    )
+    differing = strides.groupBy(*group).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    single = (F.col("_strides") == 1) & (F.col("n") == 1)
     going = (
-        second.join(shared, group, "left_semi")
+        strides.join(differing, group, "left_semi")
         .groupBy("k1", "k2", "a")
-        .agg(F.collect_set("digit").alias("digits"))
+        .agg(F.collect_list(F.struct("digit", F.when(single, 1).otherwise(2).alias("n"))).alias("digits"))
     )
     deeper = contexts.join(going, ["k1", "k2", "a"])
 
     def fine(batches):
         for batch in _few(batches, 1024):
             data, offsets = _joined_bytes(batch)
-            k1, k2, a, g, left, right, n = _numbers(batch, "k1", "k2", "a", "g", "left", "right", "n")
+            k1, k2, a, g, left, right = _numbers(batch, "k1", "k2", "a", "g", "left", "right")
             lists = batch.column("digits")
             of = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
-            digit = lists.flatten().to_numpy().astype(np.int64)
+            told = lists.flatten()
+            digit, n = (told.field(i).to_numpy().astype(np.int64) for i in (0, 1))
             which, d = _ranged(np.maximum(STRIDE * digit, right[of]), np.minimum(STRIDE * digit + STRIDE - 1, left[of]))
             row = of[which]
             start = (offsets[:-1] + left)[row] - d
             hashes = [signed(Sums(data, i).spans(start, start + window)) for i in (0, 1)]
-            yield _table([k1[row], k2[row], a[row] - d, g[row], d, *hashes, n[row]], FINE)
+            yield _table([k1[row], k2[row], a[row] - d, g[row], d, *hashes, n[which]], FINE)
 
-    columns = ["k1", "k2", "a", "g", "left", "right", "n", "bytes", "digits"]
+    columns = ["k1", "k2", "a", "g", "left", "right", "bytes", "digits"]
     third = stored(deeper.select(*columns).mapInArrow(fine, FINE), "suffix-third")
     group = ["g", "d", "f1", "f2"]
     equal = third.groupBy(*group).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    single = (
+    windows = (
         third.where("n = 1")
         .join(equal, group, "left_semi")
         .select("k1", "k2", F.col("start").alias("first"), F.col("start").alias("last"))
     )
-    return whole.unionByName(local).unionByName(single)
+    return whole.unionByName(local).unionByName(whole_strides).unionByName(windows)
 
 
 def remove_repeats(docs: DataFrame, window: int = 400, gram: int | None = None) -> DataFrame:
