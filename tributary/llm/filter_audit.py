@@ -30,7 +30,7 @@ from .storage import partitions, stored
 FILTERS = "ABCDE"
 DUPLICATE = 1 << FILTERS.index("E")
 CHUNK = 32 << 20  # bytes of text in one trie
-STEP = 1 << 18  # bytes of text between two range bounds that a trie names
+STEP = 1 << 15  # bytes of text between two range bounds that a trie names
 BOUNDS = 32  # bounds gathered for each range
 LONG = 1 << 20  # bytes; longer texts are cut into words piece by piece
 
