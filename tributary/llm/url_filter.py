@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..literals import literal_table
+from ..operators.lookup import checked
+from ..schemas import struct
 from .storage import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -26,15 +29,19 @@ def path_of(url: Column) -> Column:
 
 
 def rule_table(spark, rules: list[tuple[str, str]]) -> DataFrame:
-    """``[("allow", "org/"), ...]`` as a table (rule, verdict, rule_host, rule_path)."""
-    table = spark.createDataFrame(rules, "verdict string, rule string")
+    """``[("allow", "org/"), ...]`` as a table (rule, verdict, rule_host, rule_path).
+
+    A list of up to some megabytes is sent to every task, so that urls need not move.
+    """
+    table = literal_table(spark, rules, struct("verdict string, rule string"))
     slash = F.expr("instr(rule, '/')")
-    return table.select(
+    parts = table.select(
         "rule",
         "verdict",
         F.expr("if(instr(rule, '/') = 0, rule, left(rule, instr(rule, '/') - 1))").alias("rule_host"),
         F.when(slash > 0, F.expr("substr(rule, instr(rule, '/'))")).otherwise("").alias("rule_path"),
     )
+    return checked(parts)
 
 
 def match_rules(places: DataFrame, rules: DataFrame) -> DataFrame:
