@@ -616,5 +616,22 @@ QUERIES: dict[str, str] = {
       FROM orders""",
     "daily_job_two_days": f"""WITH {ALL_STAGING}, {FACTS} SELECT {FACT_COLUMNS}""",
 }
+DIGITS = "repeat('7', CAST(l_linenumber + 13 AS INT)) || '.' || substr(lpad(CAST(l_partkey AS VARCHAR), 3, '0'), 1, 3)"
+QUERIES["huge_amounts"] = f"""WITH t AS (SELECT *, {DIGITS} AS digits FROM lineitem)
+  SELECT {LINE_ID}, CASE WHEN l_linestatus = 'F' AND l_linenumber <= 5 THEN
+      CASE WHEN l_returnflag = 'R' THEN '-' ELSE '' END || digits || '0000000' END AS amount,
+    l_linestatus = 'F' AND l_linenumber > 5 AS beyond FROM t"""
+QUERIES["refused_lines"] = f"""WITH r AS (SELECT CAST(l_orderkey AS VARCHAR) AS platform_order_id,
+    CASE l_orderkey % 5 WHEN 0 THEN 'unit_price_local: out of range' WHEN 1 THEN 'unit_price_local: out of range'
+      WHEN 2 THEN 'tax_local: out of range' ELSE 'line_total_local: out of range' END AS refusal
+  FROM {BUYERS} WHERE l_orderkey % 5 < 4)
+  SELECT platform_order_id, refusal, count(*) AS row_count FROM r GROUP BY ALL"""
+QUERIES["workbook_drop"] = QUERIES["workbook_source"].replace("SELECT ", f"SELECT c_name AS cliente, {EMAIL} AS email, ", 1)
+QUERIES["coverage_report_job"] = f"""WITH {LINE_STAGING}, {FACTS},
+  u AS (SELECT source_platform AS source_name, platform_sku, 2 * count(*) AS occurrences FROM facts
+    WHERE sku_canonical IS NULL AND platform_sku IS NOT NULL GROUP BY ALL)
+  SELECT u.*, false AS resolved, (SELECT count(*) FROM facts) AS total_rows,
+    (SELECT count(sku_canonical) FROM facts) AS matched,
+    (SELECT count(*) - count(sku_canonical) FROM facts) AS unmatched FROM u"""
 QUERIES["tsv_two_headers"] = QUERIES["tsv_source"]
 QUERIES["stage_counts_observed"] = QUERIES["extraction_counts"]

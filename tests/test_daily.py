@@ -212,3 +212,93 @@ def test_seeding_again_keeps_product_ids(store, table):
     assert got["CAM-1"].product_id > before.product_id
     assert store.read("core/dim_platform").count() == 5
     assert store.read("reference/status_mapping").count() == 19
+
+
+def test_new_rates_reach_the_rows_they_apply_to(store, sources, table):
+    daily.run(store, sources, AS_OF)
+    before = facts(store)
+    rates = table("currency string, day string, rate string", [("PEN", "2024-03-16", "0.8")]).select(
+        "currency",
+        F.col("day").cast("date").alias("rate_date"),
+        F.col("rate").cast("decimal(12,6)").alias("rate_to_usd"),
+    )
+    store.upsert("reference/fx_rates", rates, ["currency", "rate_date"])
+    summary = daily.run(store, {}, AS_OF)
+    # The sale of the 16th and no other one.
+    assert summary["load"] == {"fact_sales_rows_upserted": 1} and summary["normalize"]["pos"] == 1
+    after = facts(store)
+    assert [k for k in after if after[k].line_total_usd != before[k].line_total_usd] == [("pos", "2")]
+    assert float(after[("pos", "2")].line_total_usd) == 3.2
+    assert daily.run(store, {}, AS_OF)["load"] == {"fact_sales_rows_upserted": 0}
+
+
+def test_a_new_mapping_reaches_the_facts(store, sources, table):
+    daily.run(store, sources, AS_OF)
+    price = F.lit("10").cast("decimal(12,2)").alias("base_price_usd")
+    mapping = table(
+        "source_platform string, platform_sku string, sku_canonical string, product_name string, category string",
+        [("shopify", "SHP-?", "POL-1", "Polo", "Polos")],
+    ).select("*", price)
+    store.upsert("reference/sku_mapping", mapping, ["source_platform", "platform_sku"])
+    summary = daily.run(store, {}, AS_OF)
+    assert summary["normalize"]["shopify"] == 0 and summary["load"] == {"fact_sales_rows_upserted": 7}
+    assert facts(store)[("shopify", "12")].product_id is not None
+
+
+def test_a_run_takes_up_what_a_failed_one_left(store, sources, monkeypatch):
+    monkeypatch.setattr(daily, "load_facts", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        daily.run(store, sources, AS_OF)
+    monkeypatch.undo()
+    assert facts(store) == {}
+    assert daily.run(store, {}, AS_OF)["load"] == {"fact_sales_rows_upserted": 7}
+    assert len(facts(store)) == 7
+
+
+def test_rejects_are_recorded_once(store, sources):
+    for _ in range(2):
+        daily.run(store, sources, AS_OF)
+    first, again = store.read("ops/rejected_rows").orderBy("raw_id").collect()
+    # The drop has landed twice, as two raw rows; judging a row again adds nothing.
+    assert (first.first_run_id, first.last_run_id, again.first_run_id) == (1, 1, 2)
+    daily.validate(store, 9, F.lit(AS_OF))
+    rejects = {r.raw_id: (r.first_run_id, r.last_run_id) for r in store.read("ops/rejected_rows").collect()}
+    assert rejects == {first.raw_id: (1, 1), again.raw_id: (2, 9)}
+
+
+def test_files_are_landed_once(store, sources, tmp_path):
+    started = datetime(2024, 4, 1, tzinfo=UTC)
+    channel = store.channels["shopify"]
+
+    def ingest(run):
+        return daily.ingest_new_files(store, channel, str(tmp_path / "drops" / "s*.json"), run, started)
+
+    assert [ingest(1), ingest(2)] == [1, 0]
+    (tmp_path / "drops" / "s2.json").write_text(json.dumps({"orders": [{"id": 5}, {"id": 6}]}))
+    assert [ingest(3), ingest(4)] == [2, 0]
+    assert sorted((r.batch_id, r.order_id) for r in store.raw(channel).collect()) == [(1, 1), (3, 5), (3, 6)]
+    mark = store.read("ops/etl_checkpoints").first()
+    assert mark.rows_ingested == 3
+    assert daily.ingest_new_files(store, channel, str(tmp_path / "none"), 5, started) == 0
+
+
+def test_a_step_that_landed_but_was_not_marked_is_not_landed_again(store, sources, tmp_path, monkeypatch):
+    started, channel = datetime(2024, 4, 1, tzinfo=UTC), store.channels["shopify"]
+    land = daily.land
+
+    def land_and_stop(*args, **kwargs):
+        land(*args, **kwargs)
+        raise OSError("stopped")
+
+    monkeypatch.setattr(daily, "land", land_and_stop)
+    with pytest.raises(Exception, match="stopped"):
+        daily.ingest_new_files(store, channel, sources["shopify"], 1, started)
+    monkeypatch.undo()
+    assert daily.ingest_new_files(store, channel, sources["shopify"], 2, started) == 0
+    assert [r.batch_id for r in store.raw(channel).collect()] == [1]
+
+
+def test_validation_scans_staging_once(spark, store, sources):
+    daily.run(store, sources, AS_OF)
+    # One write of the rejects counts on the way; the totals need no job of their own.
+    assert daily.validate(store, 2, F.lit(AS_OF)) == {"total": 7, "valid": 6, "rejected": 1}

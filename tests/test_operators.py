@@ -111,10 +111,11 @@ def test_coverage_and_unmapped(table, mapping):
 
 def test_a_table_over_the_bound_is_joined_without_broadcast(spark, table):
     big = spark.range(50).select(F.col("id"), (F.col("id") * 2).alias("double"))
-    assert lookup.fits(big, 50) and not lookup.fits(big, 49)
+    size = lookup.estimated_bytes(big)
+    assert lookup.fits(big, size) and not lookup.fits(big, size - 1)
     left = spark.range(80)
     plans, results = [], []
-    for bound in (50, 49):
+    for bound in (size, size - 1):
         joined = left.join(lookup.checked(big, bound), "id", "left")
         plans.append(joined._jdf.queryExecution().optimizedPlan().toString())
         results.append(rows(joined))

@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import PARSED_AMOUNT
 
-# Stands for amounts beyond what is parsed; no staging column takes it, so its row is refused.
-TOO_LARGE = "9" * 18
 BEYOND = r"^-?0*[1-9]\d{18,}(\.\d*)?$"
 INTEGRAL_OR_DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -16,17 +14,24 @@ def parse_money(amount: Column, decimal_sep: str = ".") -> Column:
 
     Currency signs, letters, brackets and blanks are dropped, so ``(19.90)`` is
     19.90. ``decimal_sep=","`` reads ``1.299,90`` as 1299.90. A number of 19 or
-    more whole digits becomes :data:`TOO_LARGE`.
+    more whole digits becomes null too; :func:`beyond_range` tells it from garbage.
     """
+    plain = _plain(amount, decimal_sep)
+    # Digits of other scripts are kept, but do not make a number.
+    ascii_only = F.octet_length(plain) == F.char_length(plain)
+    return F.when(ascii_only, plain.try_cast(PARSED_AMOUNT))
+
+
+def _plain(amount: Column, decimal_sep: str) -> Column:
     text = amount.cast("string")
     if decimal_sep == ",":
-        plain = F.replace(F.regexp_replace(text, r"[^\p{Nd},-]", ""), F.lit(","), F.lit("."))
-    else:
-        plain = F.regexp_replace(text, r"[^\p{Nd}.-]", "")
-    # Digits of other scripts are kept above, but do not make a number.
-    ascii_only = F.octet_length(plain) == F.char_length(plain)
-    beyond = F.when(plain.rlike(BEYOND), F.lit(TOO_LARGE).cast(PARSED_AMOUNT))
-    return F.when(ascii_only, F.coalesce(plain.try_cast(PARSED_AMOUNT), beyond))
+        return F.replace(F.regexp_replace(text, r"[^\p{Nd},-]", ""), F.lit(","), F.lit("."))
+    return F.regexp_replace(text, r"[^\p{Nd}.-]", "")
+
+
+def beyond_range(amount: Column, decimal_sep: str = ".") -> Column:
+    """Whether amount text is a number that is too large to be held; false for null."""
+    return F.coalesce(_plain(amount, decimal_sep).rlike(BEYOND), F.lit(False))
 
 
 def parse_int(number: Column) -> Column:
@@ -38,17 +43,9 @@ def parse_int(number: Column) -> Column:
     return F.coalesce(text.try_cast("bigint"), whole)
 
 
-def held(amount: Column) -> Column:
-    """A number as a parsed amount; one that does not fit becomes :data:`TOO_LARGE`."""
-    fits = amount.try_cast(PARSED_AMOUNT)
-    return F.when(amount.isNotNull(), F.coalesce(fits, F.lit(TOO_LARGE).cast(PARSED_AMOUNT)))
-
-
 def line_total(price: Column, quantity: Column, places: int) -> Column:
-    """Price times quantity, rounded half up; a product out of range becomes :data:`TOO_LARGE`."""
-    product = F.round(F.try_multiply(price, quantity), places).try_cast(PARSED_AMOUNT)
-    both = price.isNotNull() & quantity.isNotNull()
-    return F.when(both, F.coalesce(product, F.lit(TOO_LARGE).cast(PARSED_AMOUNT)))
+    """Price times quantity, rounded half up; null where a factor is, or where it is out of range."""
+    return F.round(F.try_multiply(price, quantity), places).try_cast(PARSED_AMOUNT)
 
 
 def to_usd(local: Column, rate_to_usd: Column) -> Column:

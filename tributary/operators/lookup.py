@@ -7,19 +7,25 @@ from pyspark.sql import functions as F
 
 from ..functions import sku_key, to_usd, utc_date
 
-# A table is broadcast up to this many rows (some tens of megabytes); a larger
-# one is joined by a shuffle, where adaptive execution splits hot keys.
-BROADCAST_ROWS = 500_000
+# A table is broadcast up to this estimated size, which for stored tables is that of
+# their compressed columns; a larger one is joined by a shuffle, where adaptive
+# execution splits hot keys.
+BROADCAST_BYTES = 16 << 20
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` holds at most ``max_rows`` rows; counts no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def estimated_bytes(df: DataFrame) -> int:
+    """The size the optimizer expects, from file sizes and types; runs nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is expected to take at most ``max_bytes``."""
+    return estimated_bytes(df) <= max_bytes
+
+
+def checked(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` marked for broadcast if it fits, else unmarked for a shuffled join."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    return F.broadcast(df) if fits(df, max_bytes) else df
 
 
 def latest_rates(fx: DataFrame) -> DataFrame:

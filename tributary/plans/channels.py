@@ -30,6 +30,9 @@ EXTRACTED = [
     "line_total_local", "currency", "raw_status", "customer_email",
 ]
 
+# The column that names an amount which is a number, but none that can be held.
+BEYOND = "_beyond"
+
 # Tasks that rows without an order are spread over.
 SPREAD = 1024
 
@@ -162,8 +165,6 @@ def extract_shopify(raw: DataFrame) -> DataFrame:
 
 def extract_mercadolibre(raw: DataFrame) -> DataFrame:
     order_id = F.col("id")
-    quantity = unless_given("line.quantity", 0, "decimal(18,4)")
-    price = F.coalesce("line.unit_price", F.lit(0))
     return explode_lines(raw, MERCADOLIBRE_ORDER, "order_items").select(
         *LINE_ORDER,
         order_id.alias("platform_order_id"),
@@ -171,11 +172,11 @@ def extract_mercadolibre(raw: DataFrame) -> DataFrame:
         F.col("date_created").alias("order_dt_raw"),
         F.col("line.item.seller_sku").alias("platform_sku"),
         F.col("line.item.title").alias("product_name"),
-        quantity.alias("quantity"),
-        price.alias("unit_price_local"),
+        unless_given("line.quantity", 0, "decimal(18,4)").alias("quantity"),
+        F.coalesce("line.unit_price", F.lit(0)).alias("unit_price_local"),
         F.lit(0).cast(schemas.PARSED_AMOUNT).alias("discount_local"),
         _no_amount().alias("tax_local"),
-        line_total(price, quantity, 2).alias("line_total_local"),
+        _no_amount().alias("line_total_local"),
         unless_given("currency_id", "PEN", "string").alias("currency"),
         F.col("status").alias("raw_status"),
         F.col("buyer.email").alias("customer_email"),
@@ -258,10 +259,17 @@ def extract_amazon(raw: DataFrame, crowded: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def amazon_line_total(df: DataFrame) -> DataFrame:
-    """The report has no line total: unit price times quantity, returns negative."""
-    total = line_total(F.col("unit_price_local"), F.col("quantity"), 4)
-    return df.withColumn("line_total_local", total)
+def computed_line_total(places: int) -> Callable[[DataFrame], DataFrame]:
+    """For sources without a line total: unit price times quantity, returns negative."""
+
+    def add(df: DataFrame) -> DataFrame:
+        price, quantity = F.col("unit_price_local"), F.col("quantity")
+        total = line_total(price, quantity, places)
+        lost = price.isNotNull() & quantity.isNotNull() & total.isNull()
+        beyond = F.coalesce(BEYOND, F.when(lost, "line_total_local"))
+        return df.withColumns({"line_total_local": total, BEYOND: beyond})
+
+    return add
 
 
 def extract_tiendanube(raw: DataFrame, crowded: Sequence[str] = ()) -> DataFrame:
@@ -328,6 +336,7 @@ MERCADOLIBRE = Channel(
     extract=extract_mercadolibre,
     order_key=document_id,
     malformed=lambda: json_malformed(MERCADOLIBRE_ORDER, "date_created", "order_items"),
+    post_clean=computed_line_total(2),
 )
 AMAZON = Channel(
     name="amazon",
@@ -339,7 +348,7 @@ AMAZON = Channel(
     extract=extract_amazon,
     order_key=lambda: F.col("amazon_order_id"),
     numbers_lines=True,
-    post_clean=amazon_line_total,
+    post_clean=computed_line_total(4),
 )
 TIENDANUBE = Channel(
     name="tiendanube",

@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import clean_sku, dmy_to_utc, iso_to_utc, naive_to_utc, parse_int, parse_money
-from ..functions.money import held
+from ..functions.money import beyond_range
 from ..operators.lookup import apply_fx, checked, fits, latest_rates, map_status
 from ..operators.ordering import dedupe_by_key, drop_incomplete
-from .channels import LINE_ORDER, Channel
+from .channels import BEYOND, LINE_ORDER, Channel
 
 MONEY = ["unit_price_local", "discount_local", "tax_local", "line_total_local"]
 AMOUNTS = [*MONEY, "unit_price_usd", "line_total_usd"]
@@ -34,11 +34,11 @@ class Reference:
     @classmethod
     def of(cls, fx: DataFrame, statuses: DataFrame) -> Self:
         rates = fx.select("currency", "rate_date", "rate_to_usd")
-        # The latest rates are no more rows than the rates.
+        # The latest rates are no more than the rates.
         small = fits(rates)
         return cls(
             fx=F.broadcast(rates) if small else rates,
-            latest_fx=F.broadcast(latest_rates(fx)) if small else checked(latest_rates(fx)),
+            latest_fx=F.broadcast(latest_rates(fx)) if small else latest_rates(fx),
             statuses=checked(statuses),
         )
 
@@ -58,10 +58,18 @@ def _instant(df: DataFrame, channel: Channel) -> Column:
 def clean(df: DataFrame, channel: Channel) -> DataFrame:
     """Parse SKU, money, quantity and time in one projection."""
 
+    def is_text(name: str) -> bool:
+        return isinstance(df.schema[name].dataType, T.StringType)
+
     def amount(name: str) -> Column:
-        if isinstance(df.schema[name].dataType, T.StringType):
+        if is_text(name):
             return parse_money(F.col(name), channel.decimal_sep)
-        return held(F.col(name))
+        return F.col(name).try_cast(schemas.PARSED_AMOUNT)
+
+    def beyond(name: str) -> Column:
+        if is_text(name):
+            return beyond_range(F.col(name), channel.decimal_sep)
+        return F.col(name).isNotNull() & amount(name).isNull()
 
     def whole(name: str) -> Column:
         if isinstance(df.schema[name].dataType, T.IntegralType):
@@ -75,6 +83,8 @@ def clean(df: DataFrame, channel: Channel) -> DataFrame:
             "quantity": whole("quantity"),
             "order_dt_utc": _instant(df, channel),
             **{name: amount(name) for name in MONEY},
+            # The first amount that is a number, but none that can be held.
+            BEYOND: F.coalesce(*[F.when(beyond(name), F.lit(name)) for name in MONEY]),
         }
     )
     return channel.post_clean(cleaned) if channel.post_clean else cleaned
@@ -99,6 +109,7 @@ def refusal(prepared: DataFrame) -> Column:
         )
         for name in AMOUNTS
     ]
+    reasons.insert(len(LINE_KEY), F.concat(BEYOND, F.lit(": out of range")))
     too_many = F.col("quantity").isNotNull() & F.col("quantity").try_cast("int").isNull()
     return F.coalesce(*reasons, F.when(too_many, F.lit("quantity: out of range")))
 

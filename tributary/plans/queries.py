@@ -27,13 +27,13 @@ from ..functions import (
     row_json,
     utc_date,
 )
+from ..functions.money import beyond_range
 from ..operators import quality
 from ..operators.lookup import (
     apply_fx,
     attach_canonical,
     checked,
     checked_lookup,
-    fits,
     latest_rates,
     map_status,
     mapping_conflicts,
@@ -46,10 +46,10 @@ from ..operators.reshape import observed_stages, stage_counts, union_channels, u
 from ..operators.upsert import insert_absent, merge_rows, read_table, upsert_table
 from ..session import configure, scratch_dir
 from ..sources import drops, landing, split_json
-from ..sources.workbook import decode_workbooks
+from ..sources.workbook import decode_workbooks, workbook
 from ..streaming.incremental import append_new_files, file_stream, upsert_new_files
 from . import channels, daily, sample, warehouse
-from .normalize import REQUIRED, Reference, normalize, typed
+from .normalize import REQUIRED, Reference, judged, normalize, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,28 +154,24 @@ def facts(
 
 @query
 def revenue_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = sample.dim_product(spark, sf_dir)
-    small = fits(parts)
-    parts = F.broadcast(parts) if small else parts
+    parts = products(spark, sf_dir)
     return warehouse.revenue_monthly(
         facts(spark, sf_dir, staged_lines(spark, sf_dir), parts),
         warehouse.platform_seed(spark),
         parts,
         dates(spark, sf_dir),
-        many_products=not small,
     )
 
 
 @query
 def revenue_monthly_many_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same report by the way taken when the product table cannot be broadcast."""
+    """The same report where the product table is too large to be broadcast."""
     parts = sample.dim_product(spark, sf_dir)
     return warehouse.revenue_monthly(
         facts(spark, sf_dir, staged_lines(spark, sf_dir), parts),
         warehouse.platform_seed(spark),
         parts,
         dates(spark, sf_dir),
-        many_products=True,
     )
 
 
@@ -241,6 +237,17 @@ def parse_money_dot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_text(spark, sf_dir).select(*LINE_ID, parse_money(text).alias("amount"))
 
 
+@query
+def huge_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of 15 to 21 whole digits: null beyond 18, and told from garbage."""
+    digits = F.concat(F.repeat(F.lit("7"), F.col("l_linenumber") + 13), F.lit("."), F.lpad("l_partkey", 3, "0"))
+    text = F.concat(F.when(F.col("l_returnflag") == "R", "-").otherwise("$"), digits)
+    whole = F.when(F.col("l_linestatus") == "F", text).otherwise(F.concat(F.lit("-"), digits, F.lit("-")))
+    return _line_text(spark, sf_dir).select(
+        *LINE_ID, parse_money(whole).cast("string").alias("amount"), beyond_range(whole).alias("beyond")
+    )
+
+
 @query
 def parse_money_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.col("l_extendedprice").cast("decimal(14,2)") * sample.signed_quantity()
@@ -694,6 +701,21 @@ def validation_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def refused_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report lines with amounts and quantities that staging cannot hold, by order and reason."""
+    place = F.col("merchant_order_id").substr(4, 20).cast("bigint") % 5
+    raw = sample.raw_amazon(spark, sf_dir).withColumns(
+        {
+            "item_price": F.when(place == 0, "7" * 19).when(place == 1, "123456789.00").otherwise(F.col("item_price")),
+            "item_tax": F.when(place == 2, "-" + "8" * 25 + ".5").otherwise(F.col("item_tax")),
+            "quantity_purchased": F.when(place == 3, "900000000000000").otherwise(F.col("quantity_purchased")),
+        }
+    )
+    lines = judged(raw, channels.AMAZON, reference(spark, sf_dir)).where("refusal IS NOT NULL")
+    return lines.groupBy("platform_order_id", "refusal").agg(F.count("*").alias("row_count"))
+
+
 # --- upserts -----------------------------------------------------------------------------------
 
 FACT_VALUES = ["platform_sku", "quantity", "unit_price_local", "line_total_local", "order_status"]
@@ -962,6 +984,14 @@ def workbook_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop(*drops.POSITION.names, "email", "cliente")
 
 
+@query
+def workbook_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as workbook files and read again, all columns."""
+    path = f"{scratch_dir(spark, 'workbooks')}/drop"
+    sample.write_workbooks(sample.raw_tiendanube(spark, sf_dir), drops.TIENDANUBE_HEADERS, path)
+    return workbook(spark, path).drop(*drops.POSITION.names)
+
+
 @query
 def wrapped_json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark, 'json')}/drop"
@@ -1115,6 +1145,20 @@ def reject_sink_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("ops/rejected_rows").select(*schemas.REJECT_KEY, "first_run_id", "last_run_id")
 
 
+@query
+def coverage_report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unmapped SKUs of all staged lines, reported twice: counts add up, a pair is one row."""
+    store = daily.Store(spark, scratch_dir(spark, "coverage"))
+    store.upsert("reference/sku_mapping", mapping(spark, sf_dir), ["source_platform", "platform_sku"])
+    lines = staged_lines(spark, sf_dir).withColumns(
+        {"applied_rate": F.lit(None).cast(schemas.RATE), "refusal": F.lit(None).cast("string")}
+    )
+    store.upsert("staging/sales", lines, schemas.NATURAL_KEY, buckets=store.buckets)
+    found = [daily.report_unmapped(store) for _ in range(2)]
+    rows = store.read("ops/unmapped_skus").select("source_name", "platform_sku", "occurrences", "resolved")
+    return rows.withColumns({name: F.lit(value) for name, value in found[-1].items()})
+
+
 @query
 def file_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in two files that come one after the other, with runs between: each file is landed once."""

@@ -59,14 +59,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line table, spread over the cores if it comes in fewer splits than those.
-
-    A table written as one row group is one split however large it is; a table of
-    many splits is left alone.
-    """
-    lines = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+    return table(spark, sf_dir, "lineitem")
 
 
 def by_channel(channel: Column, values: dict[str, str]) -> Column:
@@ -437,17 +430,42 @@ def workbook_bytes(header: list[str], rows: list[tuple], sheet: str = "Ventas")
     return content.getvalue()
 
 
+def _packed(batch: pd.DataFrame, headers: dict[str, str]) -> bytes:
+    columns = list(headers.values())
+    cells = [
+        tuple(int(v) if v is not None and n == "cantidad" else v for n, v in zip(columns, row))
+        for row in batch.itertuples(index=False, name=None)
+    ]
+    return workbook_bytes(list(headers), cells)
+
+
 def workbook_files(rows: DataFrame, headers: dict[str, str]) -> DataFrame:
     """Rows packed into workbooks (``path``, ``content``), one per batch of a task."""
-    columns = list(headers.values())
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            cells = [
-                tuple(int(v) if v is not None and n == "cantidad" else v for n, v in zip(columns, row))
-                for row in batch.itertuples(index=False, name=None)
-            ]
-            content = workbook_bytes(list(headers), cells)
-            yield pd.DataFrame({"path": [f"{uuid.uuid4().hex}.xlsx"], "content": [content]})
-
-    return rows.select(*columns).mapInPandas(pack, "path string, content binary")
+            yield pd.DataFrame({"path": [f"{uuid.uuid4().hex}.xlsx"], "content": [_packed(batch, headers)]})
+
+    return rows.select(*headers.values()).mapInPandas(pack, "path string, content binary")
+
+
+def write_workbooks(rows: DataFrame, headers: dict[str, str], path: str) -> None:
+    """Rows written as workbook files below ``path``, one per batch of a task.
+
+    A file is named by its task and batch, so a task that runs again writes its own files anew.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        files, folder = fs.FileSystem.from_uri(path)
+        files.create_dir(folder)
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            name = f"{folder}/part-{task:05d}-{number:05d}.xlsx"
+            with files.open_output_stream(name) as out:
+                out.write(_packed(batch, headers))
+            yield pd.DataFrame({"file": [name]})
+
+    rows.select(*headers.values()).mapInPandas(write, "file string").write.format("noop").mode("overwrite").save()

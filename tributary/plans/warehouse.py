@@ -127,20 +127,16 @@ def sales_wide(
 
 
 def revenue_monthly(
-    facts: DataFrame,
-    platforms: DataFrame,
-    products: DataFrame,
-    dates: DataFrame,
-    many_products: bool = False,
+    facts: DataFrame, platforms: DataFrame, products: DataFrame, dates: DataFrame
 ) -> DataFrame:
     """Paid revenue by month, channel and category.
 
-    With a broadcast product table the facts are joined where they are read, and
-    only one partial sum per group and task is shuffled. ``many_products`` is for
-    a product table that does not fit: facts are first summed by month and
-    product, which also shrinks the facts without a product, one hot null key.
+    Facts are summed by month and product before they meet the products, whatever
+    the size of these: only these sums are shuffled, partial ones at that, and the
+    facts without a product, one hot null key, are a row a month by then.
     """
     month = ["year", "month", "month_name", "platform_name"]
+    measures = ["_lines", "_units", "_usd"]
     rows = _dated(facts.where(F.col("order_status") == "paid"), platforms, dates).select(
         *month,
         "product_id",
@@ -148,12 +144,10 @@ def revenue_monthly(
         F.col("quantity").cast("bigint").alias("_units"),
         F.col("line_total_usd").alias("_usd"),
     )
-    measures = ["_lines", "_units", "_usd"]
-    if many_products:
-        rows = rows.groupBy(*month, "product_id").agg(*[F.sum(m).alias(m) for m in measures])
+    sums = rows.groupBy(*month, "product_id").agg(*[F.sum(m).alias(m) for m in measures])
     category = F.coalesce("category", F.lit(NO_CATEGORY)).alias("category")
     return (
-        _with_product(rows, products)
+        _with_product(sums, products)
         .groupBy(*month, category)
         .agg(
             F.sum("_lines").alias("line_items"),

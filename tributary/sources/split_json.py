@@ -177,11 +177,13 @@ def elements(spark: SparkSession, path: str | list[str], wrapper: str) -> DataFr
         )
         .where("whole")
     )
-    # Up to the array's opening bracket, or the comma behind the element before.
-    joined_text = F.concat(F.array_join(F.col("parts.value"), "}"), F.lit("}"))
-    first = F.exists("parts", lambda p: p["opens"])
-    lead = F.when(first, F.regexp_replace(joined_text, rf"(?s)^.*?{opening}\s*", "")).otherwise(
-        F.regexp_replace(joined_text, r"^\s*,\s*", "")
+    # Without what stands before: up to the array's opening bracket, or the comma behind the element before.
+    opened = F.array_max(F.transform("parts", lambda p, i: F.when(p["opens"], i).otherwise(-1)))
+    gathered = gathered.withColumn("opened", opened).withColumn(
+        "text", F.concat(F.array_join(F.expr("slice(parts, greatest(opened, 0) + 1, size(parts)).value"), "}"), F.lit("}"))
+    )
+    lead = F.when(F.col("opened") >= 0, F.regexp_replace("text", rf"(?s)^.*?{opening}\s*", "")).otherwise(
+        F.regexp_replace("text", r"^\s*,\s*", "")
     )
     broken = F.raise_error(F.concat("source_file", F.lit(": element "), "file_row", F.lit(" is no JSON")))
     return (
