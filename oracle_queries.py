@@ -5,7 +5,7 @@ Written against the tables alone; nothing here runs on Spark.
 
 from __future__ import annotations
 
-# The sample's vocabulary.
+# The channels, their labels, statuses and words, as the star schema holds them.
 CHANNELS = {
     "shopify": "1-URGENT",
     "mercadolibre": "2-HIGH",
@@ -633,5 +633,15 @@ QUERIES["coverage_report_job"] = f"""WITH {LINE_STAGING}, {FACTS},
   SELECT u.*, false AS resolved, (SELECT count(*) FROM facts) AS total_rows,
     (SELECT count(sku_canonical) FROM facts) AS matched,
     (SELECT count(*) - count(sku_canonical) FROM facts) AS unmatched FROM u"""
+QUERIES["run_audit_rows"] = """WITH n AS (SELECT count(DISTINCT l_orderkey * 10 + l_linenumber) AS n
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority = '5-LOW')
+  SELECT 1 AS run_id, 'success' AS status, n AS till_rows, n AS facts, false AS has_error, true AS finished FROM n
+  UNION ALL SELECT 2, 'failed', NULL, NULL, true, true"""
+QUERIES["late_rows_left_out"] = f"{EVENT_ROWS} WHERE ts > TIMESTAMP '2024-01-16 12:00:00'"
+QUERIES["empty_load"] = f"""WITH {TWO_LOADS} SELECT {KEY}, platform_sku, CAST(quantity AS BIGINT) AS quantity,
+  unit_price_local, line_total_local, order_status FROM loads WHERE l_linestatus = 'F'"""
+QUERIES["long_reasons"] = f"""WITH {FAULTY}, r AS (SELECT *, left('order_status: Value error, unknown order_status ' || chr(39)
+  || trim(repeat('no status ', CAST(platform_line_id AS INT) + 42)) || chr(39), 500) AS reason FROM faulty)
+  SELECT {KEY}, CAST(raw_id AS BIGINT) AS raw_id, reason, length(reason) AS size FROM r"""
 QUERIES["tsv_two_headers"] = QUERIES["tsv_source"]
 QUERIES["stage_counts_observed"] = QUERIES["extraction_counts"]

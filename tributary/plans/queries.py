@@ -47,7 +47,7 @@ from ..operators.upsert import insert_absent, merge_rows, read_table, upsert_tab
 from ..session import configure, scratch_dir
 from ..sources import drops, landing, split_json
 from ..sources.workbook import decode_workbooks, workbook
-from ..streaming.incremental import append_new_files, file_stream, upsert_new_files
+from ..streaming.incremental import after_watermark, append_new_files, file_stream, upsert_new_files
 from . import channels, daily, sample, warehouse
 from .normalize import REQUIRED, Reference, judged, normalize, typed
 
@@ -1159,6 +1159,72 @@ def coverage_report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({name: F.lit(value) for name, value in found[-1].items()})
 
 
+@query
+def run_audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of a run over the till and of one whose drop is broken."""
+    base = scratch_dir(spark, "audit")
+    store = _seeded_store(spark, sf_dir, f"{base}/warehouse")
+    sales = dedupe_by_key(sample.raw_pos(spark, sf_dir, "pos"), ["venta_id"], ["raw_id"])
+    sales.select(*schemas.POS_VENTAS.names).write.parquet(f"{base}/till")
+    sample.table(spark, sf_dir, "region").select("r_name").coalesce(1).write.text(f"{base}/broken")
+    daily.run(store, {"pos": f"{base}/till"}, as_of=RUN_AT)
+    try:
+        daily.run(store, {"shopify": f"{base}/broken"}, as_of=RUN_AT)
+    except Exception:  # noqa: BLE001, S110: the audit row is what is looked at
+        pass
+    summary = F.col("sources_summary")
+    return store.read("ops/pipeline_runs").select(
+        "run_id",
+        "status",
+        F.get_json_object(summary, "$.extract.pos").cast("bigint").alias("till_rows"),
+        F.get_json_object(summary, "$.load.fact_sales_rows_upserted").cast("bigint").alias("facts"),
+        F.col("error_message").isNotNull().alias("has_error"),
+        (F.col("finished_at") >= F.col("started_at")).alias("finished"),
+    )
+
+
+@query
+def late_rows_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Waves of events of which only rows after a watermark are landed."""
+    base = scratch_dir(spark, "late")
+    waves = _event_waves(spark, sf_dir)
+    schema = waves[0].schema
+    mark = F.lit(datetime(2024, 1, 16, 12)).cast("timestamp_ntz")
+    for wave in waves:
+        wave.write.mode("append").parquet(f"{base}/drop")
+        stream = after_watermark(file_stream(spark, f"{base}/drop", schema), "ts", mark)
+        append_new_files(stream.drop("source_file"), f"{base}/raw", f"{base}/progress").awaitTermination()
+    return spark.read.schema(schema).parquet(f"{base}/raw")
+
+
+@query
+def empty_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load without rows changes nothing in a stored table."""
+    first, _ = _two_loads(spark, sf_dir)
+    path = scratch_dir(spark, "empty-load")
+    for load in (first, first.where("false")):
+        upsert_table(spark, path, first.schema, load, schemas.NATURAL_KEY, buckets=8)
+    return read_table(spark, path, first.schema)
+
+
+@query
+def long_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons that quote a status of hundreds of characters are cut at 500."""
+    lines = faulty_lines(spark, sf_dir).withColumns(
+        {
+            "quantity": F.lit(1),
+            "currency": F.lit("USD"),
+            "unit_price_local": F.lit(1).cast(schemas.AMOUNT),
+            "unit_price_usd": F.lit(1).cast(schemas.AMOUNT),
+            "order_dt_utc": F.lit(datetime(2000, 1, 1)).cast("timestamp"),
+            "order_status": F.repeat(F.lit("no status "), F.col("platform_line_id").cast("int") + 42),
+        }
+    )
+    return quality.with_reason(lines, F.lit(AS_OF)).select(
+        *schemas.NATURAL_KEY, "raw_id", "reason", F.length("reason").alias("size")
+    )
+
+
 @query
 def file_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in two files that come one after the other, with runs between: each file is landed once."""

@@ -189,10 +189,12 @@ def table_snapshot(
 
     ``jdbc`` holds the reader's options (``url``, ``partitionColumn``,
     ``lowerBound``, ``upperBound``, ``numPartitions``); ``source`` is then the
-    table's name. Filters added later reach the database.
+    table's name, and its columns are cast to ``schema``. Filters added later on
+    columns that need no cast reach the database.
     """
     if jdbc:
-        return spark.read.format("jdbc").options(dbtable=source, **jdbc).load().select(*schema.names)
+        table = spark.read.format("jdbc").options(dbtable=source, **jdbc).load()
+        return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
     return present_or_empty(
         spark,
         lambda: spark.read.schema(schema).parquet(*([source] if isinstance(source, str) else source)),
