@@ -212,7 +212,11 @@ cells AS (
 near AS (
   SELECT a.line, min(b.place) AS place FROM cells a JOIN cells b
     ON a.s = b.s AND a.side = b.side AND a.half = b.half AND a.line <> b.line
-  WHERE levenshtein(a.line, b.line) <= 1 GROUP BY a.line),
+  -- levenshtein counts bytes, an edit is of a character: up to four bytes are looked at by character
+  WHERE levenshtein(a.line, b.line) <= 4 AND (levenshtein(a.line, b.line) <= 1 OR len(list_filter(
+    range(0, greatest(a.n, b.n)), lambda i: left(a.line, i) = left(b.line, i)
+      AND substr(a.line, i + 1 + (a.n >= b.n)::INT) = substr(b.line, i + 1 + (b.n >= a.n)::INT))) > 0)
+  GROUP BY a.line),
 earliest AS (SELECT line, least(firsts.place, coalesce(near.place, firsts.place)) AS place FROM firsts LEFT JOIN near USING (line)),
 gone AS (
   SELECT doc_id, count(*) AS n_removed, string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS removed
