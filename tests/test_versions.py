@@ -237,3 +237,16 @@ def test_a_broken_file_fails(spark, tmp_path, text):
     (tmp_path / "d.json").write_text(text)
     with pytest.raises(Exception, match="JSON"):
         split_json.elements(spark, str(tmp_path / "d.json"), "orders").collect()
+
+
+def test_a_file_of_some_megabytes_is_no_single_row(spark, tmp_path):
+    """A row of a whole file takes many times the file's size of one task's memory."""
+    path = tmp_path / "one.json"
+    path.write_text(json.dumps({"orders": [{"id": i, "pad": "x" * 5000} for i in range(2000)]}))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(2 << 20))
+    try:
+        found = drops.wrapped_json(spark, str(path), "orders").select("order_id", "file_block", "file_row").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len({r.file_block for r in found}) > 1
+    assert sorted((r.order_id, r.file_row) for r in found) == [(i, i) for i in range(2000)]

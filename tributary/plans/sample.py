@@ -135,13 +135,12 @@ def email() -> Column:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with their order and customer."""
+    """Lines with their order and customer; the lines, of which there are most, are moved once."""
     lines = lineitem(spark, sf_dir)
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
-        customers, orders.o_custkey == customers.c_custkey
-    )
+    bought = orders.join(customers, orders.o_custkey == customers.c_custkey)
+    return lines.join(bought, lines.l_orderkey == orders.o_orderkey)
 
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

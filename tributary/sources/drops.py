@@ -24,8 +24,8 @@ log = logging.getLogger(__name__)
 
 POSITION = schemas.struct("source_file string, file_block bigint, file_row int")
 
-# A JSON file up to this size is parsed as one row.
-WHOLE_BYTES = 64 << 20
+# A JSON file up to this size is parsed as one row, which takes many times its size.
+WHOLE_BYTES = 8 << 20
 
 # Report headers and the raw columns they become.
 AMAZON_HEADERS = {

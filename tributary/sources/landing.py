@@ -111,7 +111,7 @@ def _numbered(rows: DataFrame, base: int) -> DataFrame:
     )
     return (
         rows.withColumn("_task", task)
-        .join(offsets, "_task")
+        .join(F.broadcast(offsets), "_task")  # so that no row is moved for them
         .withColumn("raw_id", F.lit(base + 1) + F.col("_before") + place)
         .drop("_task", "_before", "_at")
     )
