@@ -1,6 +1,7 @@
 """Steps that read, store and move their rows less often, with the same result."""
 
 from tributary.operators.lookup import sku_coverage, unmapped_skus
+from tributary.plans import daily
 
 
 def test_counts_of_rows_that_stand_for_several(table):
@@ -11,3 +12,24 @@ def test_counts_of_rows_that_stand_for_several(table):
     assert tuple(sku_coverage(pairs, pairs.n).first()) == (10, 3, 7)
     assert tuple(sku_coverage(pairs.where("false"), pairs.n).first()) == (0, 0, 0)
     assert [tuple(r) for r in unmapped_skus(pairs, pairs.n).collect()] == [("a", "y", 2)]
+
+
+def test_rows_are_stored_once_before_they_are_numbered(spark, table, tmp_path, monkeypatch):
+    labels = []
+    monkeypatch.setattr(daily, "stored", lambda df, label, store=daily.stored: labels.append(label) or store(df, label))
+    store = daily.Store(spark, str(tmp_path))
+    products = table("sku_canonical string, product_name string, category string, base_price_usd decimal(12,2)", [
+        (s, s, s, None) for s in "abc"
+    ])
+    daily.upsert_products(store, products)
+    assert labels == ["unnumbered"]
+    daily.upsert_products(store, products.unionByName(products.selectExpr("'d' AS sku_canonical", "product_name", "category", "base_price_usd").limit(1)))
+    held = {r.sku_canonical: r.product_id for r in store.read("core/dim_product").collect()}
+    assert sorted(held.values()) == [1, 2, 3, 4] and held["d"] == 4
+    assert daily.notes(spark, store.path("core/dim_product"))["top_product_id"] == 4
+
+
+def test_a_shuffle_goes_with_its_action(spark):
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    counts = spark.range(100).groupBy("id").count()
+    assert len(counts.collect()) == len(counts.collect()) == 100
