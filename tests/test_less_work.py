@@ -29,7 +29,9 @@ def test_rows_are_stored_once_before_they_are_numbered(spark, table, tmp_path, m
     assert daily.notes(spark, store.path("core/dim_product"))["top_product_id"] == 4
 
 
-def test_a_shuffle_goes_with_its_action(spark):
+def test_a_shuffle_is_cut_by_its_size_and_goes_with_its_action(spark):
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 512
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
     counts = spark.range(100).groupBy("id").count()
     assert len(counts.collect()) == len(counts.collect()) == 100
