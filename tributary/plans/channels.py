@@ -33,8 +33,9 @@ EXTRACTED = [
 # The column that names an amount which is a number, but none that can be held.
 BEYOND = "_beyond"
 
-# Tasks that rows without an order are spread over.
+# Tasks that rows without an order are spread over, and the column that deals them.
 SPREAD = 1024
+APART = "_apart"
 
 # Ingest order of a line: ``element`` is its place in the order's array.
 LINE_ORDER = [*INGEST_ORDER, "element"]
@@ -44,7 +45,8 @@ LINE_ORDER = [*INGEST_ORDER, "element"]
 class Channel:
     """One sales channel.
 
-    ``extract`` maps raw rows to ``EXTRACTED`` and ``LINE_ORDER`` columns.
+    ``extract`` maps raw rows to ``EXTRACTED`` and ``LINE_ORDER`` columns, and ``APART``
+    where they are dealt by it and the order.
     ``order_key`` is the order of a raw row: no line depends on rows of another order.
     ``malformed`` gives the reason why a raw row cannot be extracted, or null.
     ``post_clean`` may replace columns once prices and quantities are parsed. An
@@ -198,16 +200,18 @@ def numbered_lines(raw: DataFrame, order_column: str, crowded: Sequence[str] = (
     inside its batch. An order's lines are numbered by first appearance over all
     batches: a report that lands again finds its own numbers, and lines that come
     in a later report get new ones. The rows are dealt by order once and read once;
-    rows without an order, which get no number, are spread. Orders in ``crowded``
-    are numbered slice by slice, by many tasks.
+    rows without an order, which get no number, are spread by ``APART``. Both columns
+    stay, so that a later step finds an order's rows where they are. Orders in
+    ``crowded`` are numbered slice by slice, by many tasks.
     """
     if crowded:
         many = F.coalesce(F.col(order_column).isin(list(crowded)), F.lit(False))
         few = numbered_lines(raw.where(~many), order_column)
-        return few.unionByName(_numbered_by_slice(raw.where(many), order_column))
+        sliced = _numbered_by_slice(raw.where(many), order_column)
+        return few.unionByName(sliced.withColumn(APART, F.lit(None).cast("bigint")))
     apart = F.when(F.col(order_column).isNull(), F.pmod("raw_id", F.lit(SPREAD)))
-    rows = raw.withColumns({"_sku": F.coalesce("sku", F.lit("")), "_apart": apart})
-    order = [order_column, "_apart"]
+    rows = raw.withColumns({"_sku": F.coalesce("sku", F.lit("")), APART: apart})
+    order = [order_column, APART]
     alike = Window.partitionBy(*order, "batch_id", "_sku").orderBy("source_file", "raw_id")
     line = Window.partitionBy(*order, "_sku", "_nth")
     return (
@@ -215,7 +219,7 @@ def numbered_lines(raw: DataFrame, order_column: str, crowded: Sequence[str] = (
         .withColumn("_nth", F.row_number().over(alike))
         .withColumn("_first", F.min(F.struct(*INGEST_ORDER)).over(line))
         .withColumn("line_pos", F.dense_rank().over(Window.partitionBy(*order).orderBy("_first")))
-        .drop("_sku", "_apart", "_nth", "_first")
+        .drop("_sku", "_nth", "_first")
         .withColumn("element", F.lit(0))
     )
 
@@ -243,6 +247,7 @@ def _numbered_by_slice(raw: DataFrame, order_column: str) -> DataFrame:
 def extract_amazon(raw: DataFrame, crowded: Sequence[str] = ()) -> DataFrame:
     return numbered_lines(raw, "amazon_order_id", crowded).select(
         *LINE_ORDER,
+        APART,
         F.col("amazon_order_id").alias("platform_order_id"),
         F.concat("amazon_order_id", F.lit("-"), "line_pos").alias("platform_line_id"),
         F.col("purchase_date").alias("order_dt_raw"),
@@ -275,6 +280,7 @@ def computed_line_total(places: int) -> Callable[[DataFrame], DataFrame]:
 def extract_tiendanube(raw: DataFrame, crowded: Sequence[str] = ()) -> DataFrame:
     return numbered_lines(raw, "n_orden", crowded).select(
         *LINE_ORDER,
+        APART,
         F.col("n_orden").alias("platform_order_id"),
         F.concat("n_orden", F.lit("-"), "line_pos").alias("platform_line_id"),
         F.col("fecha").alias("order_dt_raw"),

@@ -15,7 +15,7 @@ from ..functions import clean_sku, dmy_to_utc, iso_to_utc, naive_to_utc, parse_i
 from ..functions.money import beyond_range
 from ..operators.lookup import apply_fx, checked, fits, latest_rates, map_status
 from ..operators.ordering import dedupe_by_key, drop_incomplete
-from .channels import BEYOND, LINE_ORDER, Channel
+from .channels import APART, BEYOND, LINE_ORDER, Channel
 
 MONEY = ["unit_price_local", "discount_local", "tax_local", "line_total_local"]
 AMOUNTS = [*MONEY, "unit_price_usd", "line_total_usd"]
@@ -93,9 +93,18 @@ def clean(df: DataFrame, channel: Channel) -> DataFrame:
 def newest_lines(df: DataFrame) -> DataFrame:
     """Keep the newest row of a line, then drop what lacks time or quantity.
 
-    In this order a newer broken row hides an older good one.
+    In this order a newer broken row hides an older good one. Rows that were dealt by
+    order to be numbered are not moved again: all rows of a line are in one task. Only
+    of those without an order, which are spread, each task's newest meet once more.
     """
-    return drop_incomplete(dedupe_by_key(df, LINE_KEY, LINE_ORDER), REQUIRED)
+    if APART not in df.columns:
+        return drop_incomplete(dedupe_by_key(df, LINE_KEY, LINE_ORDER), REQUIRED)
+    newest = dedupe_by_key(df, [*LINE_KEY, APART], LINE_ORDER)
+    lost = F.col("platform_order_id").isNull()
+    found = newest.where(~lost).unionByName(
+        dedupe_by_key(newest.where(lost), LINE_KEY, LINE_ORDER)
+    )
+    return drop_incomplete(found.drop(APART), REQUIRED)
 
 
 def refusal(prepared: DataFrame) -> Column:
