@@ -15,6 +15,7 @@ that runs again leaves one file.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import ChainMap
 from collections.abc import Iterator
@@ -30,9 +31,15 @@ from .storage import partitions, stored
 
 MARK = 0x544F4B454E533031
 NO_ID = -(1 << 63)  # stands for a null doc_id in the files
-KNOWN_WORDS = 600_000  # words whose ids a Python worker remembers, from task to task
-LONGEST_KNOWN = 64  # characters; longer words are encoded each time
-PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+KNOWN_PIECES = 300_000  # pieces a Python worker remembers from task to task, beside as many older ones
+LONGEST_KNOWN = 64  # characters; longer pieces are encoded each time
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+MARKS = r"!-/:-@\[-`{-~"
+# Words between spaces; of words of Latin letters with marks behind them, both parts.
+PIECES = re.compile(f"[{LATIN}]++(?=[{MARKS}]*+ )|[{MARKS}]++(?= )|[^ ]++").findall
+LETTERS = re.compile(f"[{LATIN}]+").fullmatch
+# Beyond these are marks that may join the letter before them, some with small letters alone.
+BEYOND_LATIN = re.compile("[^\x00-\u02ff\u2000-\u206f]").search
 
 
 def id_type(vocabulary: int) -> np.dtype:
@@ -40,7 +47,7 @@ def id_type(vocabulary: int) -> np.dtype:
 
 
 class Encoder:
-    """Encodes texts word by word, remembering the ids of words.
+    """Encodes texts piece by piece, remembering the ids of pieces.
 
     Right for tokenizers that drop white space, fold case and never join letters
     with anything else, like the public ``word_bpe_49k``; ``tests/llm`` holds it
@@ -53,7 +60,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.kind = kind
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -74,37 +82,39 @@ class Encoder:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _learn(self, words: set[str]) -> None:
-        """Words of Latin letters with marks behind them are made up from both parts."""
-        parts, others = {}, []
-        for word in words:
-            core = word.rstrip(PUNCTUATION)
-            if core.isalpha() and max(core) < "\u0100":
-                parts[word] = (core.lower(), word[len(core) :])
-            else:
-                others.append(word)
-        cores = list({core for core, _ in parts.values() if core not in self.known})
-        marks = list({mark for _, mark in parts.values() if mark not in self.known})
-        self.known.update(zip(cores, self._letters(cores)))
-        self.known.update(zip(marks, self._each(marks)))
+    def _learn(self, pieces: set[str]) -> None:
+        letters, others = [], []
+        for piece in pieces:
+            (letters if LETTERS(piece) else others).append(piece)
+        self.known.update(zip(letters, self._letters(letters)))
         self.known.update(zip(others, self._each(others)))
-        known = self.known
-        known.update({word: known[core] + known[mark] for word, (core, mark) in parts.items()})
 
     def batch(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as bytes."""
-        split = [
-            t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts
-        ]
+        split = [PIECES(lowered(t)) for t in texts]
         here = set().union(*split)
-        new = {w for w in here if w not in self.known}
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known, new = {"": b""}, here - {""}
-        long = [w for w in new if len(w) > LONGEST_KNOWN]
-        self._learn(new.difference(long))
+        new = here.difference(self.known)
+        if len(self.known) + len(new) > KNOWN_PIECES:  # those of late stay, in case they come again
+            self.older, self.known = self.known, {}
+            new = here
+        again = {p: self.older[p] for p in new if p in self.older}
+        self.known.update(again)
+        long = [p for p in new if len(p) > LONGEST_KNOWN]
+        self._learn(new.difference(again, long))
         once = dict(zip(long, self._each(long)))
         known = ChainMap(once, self.known) if once else self.known
-        return (b"".join(map(known.__getitem__, words)) for words in split)
+        return (b"".join(map(known.__getitem__, pieces)) for pieces in split)
+
+
+def lowered(text: str) -> str:
+    """``text`` with blanks alone for space, one at the end, and A-Z in lower case.
+
+    The tokenizer folds case itself; where it can tell the two before, the case stays.
+    """
+    text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ") + " "
+    if "<|" in text or not text.isascii() and BEYOND_LATIN(text):
+        return text
+    return text.encode().lower().decode()
 
 
 @lru_cache(1)
