@@ -534,8 +534,9 @@ def order_json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def order_json_posexplode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = sample.mercadolibre_documents(spark, sf_dir)
-    return channels.extract_mercadolibre(raw).drop(*landing.INGEST_ORDER, "element", "tax_local")
+    lines = channels.extract_mercadolibre(sample.mercadolibre_documents(spark, sf_dir))
+    summed = channels.MERCADOLIBRE.post_clean(lines.withColumn(channels.BEYOND, F.lit(None).cast("string")))
+    return summed.drop(*landing.INGEST_ORDER, "element", "tax_local", channels.BEYOND)
 
 
 @query
