@@ -86,14 +86,16 @@ def nearest_earlier(lines: DataFrame) -> DataFrame:
         F.max("h").alias("high"),
     ).where("low <> high")
     other = F.expr("case kind when 0 then least1 when 1 then least0 else least2 end")
+    # A piece makes a hundred keys, which Spark would not see in the size of the stored pieces: broadcast
+    # by that size they would fill the driver, so both joins are told to shuffle.
     found = (
-        keys.join(least, "key")
+        keys.join(least.hint("merge"), "key")
         .withColumn("other", other)
         .where("other.cell = cell and levenshtein(piece, other.piece) <= 1")
         .groupBy("h")
         .agg(F.min("other.place").alias("near"))
     )
-    return first.join(found, "h", "left").select(
+    return first.join(found.hint("merge"), "h", "left").select(
         "h", "g", F.least("place", "near").alias("earliest")
     )
 
