@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import utc_date
 from ..literals import literal_table
-from ..operators.lookup import attach_canonical
+from ..operators.lookup import attach_canonical, fits
 from ..operators.reshape import calendar
 from .channels import CHANNELS, Channel
 
@@ -82,13 +82,16 @@ def fact_rows(
 
     Rows of an unknown channel are dropped; a SKU that no mapping or product
     knows leaves ``product_id`` null. The small tables come from ``checked``.
+    Lookup and products meet first, so that tables too large to be broadcast
+    move the sales rows once, not once each.
     """
     ids = platforms.select(F.col("platform_code").alias("source_platform"), "platform_id")
     known = products.select("sku_canonical", "product_id")
-    mapped = attach_canonical(staging, sku_lookup).drop("canonical_product_name", "category")
+    small = fits(sku_lookup) and fits(known)
+    lookup = sku_lookup.drop("canonical_product_name", "category").join(known, "sku_canonical", "left")
+    mapped = attach_canonical(staging, F.broadcast(lookup) if small else lookup)
     return (
         mapped.join(F.broadcast(ids), "source_platform", "inner")
-        .join(known, "sku_canonical", "left")
         .withColumn("date_id", utc_date(F.col("order_dt_utc")))
         .select(*[f.name for f in schemas.FACT_SALES if f.name not in ("sale_id", "loaded_at")])
     )
@@ -113,8 +116,11 @@ def _with_product(rows: DataFrame, products: DataFrame) -> DataFrame:
 def sales_wide(
     facts: DataFrame, platforms: DataFrame, products: DataFrame, dates: DataFrame
 ) -> DataFrame:
-    """The wide sales view: every fact with its dimension attributes."""
-    return _with_product(_dated(facts, platforms, dates), products).select(
+    """The wide sales view: every fact with its dimension attributes.
+
+    Products come first: facts that are moved for them do not carry the attributes of day and platform.
+    """
+    return _dated(_with_product(facts, products), platforms, dates).select(
         "sale_id", "order_dt_utc", "date_id",
         "year", "quarter", "month", "month_name", "day_name", "is_weekend",
         "platform_code", "platform_name", "platform_type",
