@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary import schemas
 from tributary.operators.lookup import sku_lookup
-from tributary.plans import warehouse
+from tributary.plans import sample, warehouse
 
 
 def lines_of(df) -> list[str]:
@@ -71,3 +71,36 @@ def test_the_view_takes_the_products_first(star):
     assert rows(view.select("platform_line_id", "product_name", "platform_name", "month")) == sorted(
         [("1", "x", "Till", 5), ("1", "x2", "Till", 5), *[(n, None, "Till", 5) for n in "2346"]], key=repr
     )
+
+
+def order_tables(spark, path):
+    """A line of each make for each channel, one twice; orders and lines that find no other, null keys."""
+    priorities = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "", None]
+    orders = [(i, 7 if i else None, "FOP"[i % 3], 10.5, i % 7 + 1, p) for i, p in enumerate([*priorities, *priorities])]
+    orders.append((None, 7, "F", 1.0, 1, "3-MEDIUM"))
+    spark.createDataFrame(
+        orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, day int, o_orderpriority string"
+    ).withColumn("o_orderdate", F.expr("timestamp'1996-03-01' + make_interval(0, 0, 0, day)")).drop("day").write.parquet(
+        f"{path}/orders.parquet"
+    )
+    lines = [
+        (k, 10 + k, 3, n, 2.0 + n, 99.5 * (k + 1), 0.05, 0.02, "NRA"[(k + n) % 3], "FO"[n % 2]) for k in range(15) for n in (1, 1, 2)
+    ]
+    lines.append((None, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "N", "O"))
+    spark.createDataFrame(
+        lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string",
+    ).withColumn("l_shipdate", F.expr("timestamp'1996-04-01'")).write.parquet(f"{path}/lineitem.parquet")
+    spark.createDataFrame([(7, "Ann", 1.0)], "c_custkey bigint, c_name string, c_acctbal double").write.parquet(f"{path}/customer.parquet")
+    return str(path)
+
+
+def test_channels_read_their_own_stored_lines(spark, tmp_path):
+    path = order_tables(spark, tmp_path)
+    lines = sample.dealt_lines(spark, path)
+    for name, build in sample.RAW.items():
+        given = sample.raw_of_channel(spark, path, name, lines)
+        assert rows(given.drop("ingested_at")) == rows(build(spark, path, name).drop("ingested_at")) != []
+        if name != "mercadolibre":  # not the tables, and of the stored lines its part alone
+            plan = given._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "PartitionFilters: [isnotnull(_channel" in plan

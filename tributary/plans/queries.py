@@ -560,11 +560,8 @@ def json_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- channels ------------------------------------------------------------------------------
 
 
-def _normalized(
-    spark: SparkSession, sf_dir: str, name: str, tables: Reference, own_orders: bool = False
-) -> DataFrame:
-    raw = sample.RAW[name](spark, sf_dir, name if own_orders else None)
-    return normalize(raw, channels.CHANNELS[name], tables)
+def _normalized(spark: SparkSession, sf_dir: str, name: str, tables: Reference) -> DataFrame:
+    return normalize(sample.RAW[name](spark, sf_dir), channels.CHANNELS[name], tables)
 
 
 @query
@@ -593,9 +590,10 @@ def normalize_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = reference(spark, sf_dir)
+    tables, lines = reference(spark, sf_dir), sample.dealt_lines(spark, sf_dir)
     return union_channels(
-        _normalized(spark, sf_dir, name, tables, own_orders=True) for name in sample.RAW
+        normalize(sample.raw_of_channel(spark, sf_dir, name, lines), channels.CHANNELS[name], tables)
+        for name in sample.RAW
     )
 
 
@@ -1049,19 +1047,30 @@ def _sample_channels() -> dict[str, channels.Channel]:
 
 
 def _write_drops(
-    spark: SparkSession, sf_dir: str, folder: str, orders: Column | None = None, till: Column | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    folder: str,
+    lines: DataFrame,
+    orders: Column | None = None,
+    till: Column | None = None,
 ) -> dict[str, str]:
-    """Drops of all channels: of the orders that ``orders`` picks by ``_order``, and of the till as it stands."""
+    """Drops of all channels: of the orders that ``orders`` picks by ``_order``, and of the till as it stands.
+
+    ``lines`` are the stored lines; they are sorted before their texts are made.
+    """
     sources = {name: f"{folder}/{name}" for name in sample.RAW}
     raw = {}
-    for name, build in sample.RAW.items():
-        rows = build(spark, sf_dir, name).withColumn("_order", channels.CHANNELS[name].order_key().cast("bigint"))
-        raw[name] = (rows if orders is None else rows.where(orders)).drop("_order").orderBy("raw_id")
+    for name in ("shopify", "mercadolibre", "amazon", "tiendanube"):
+        rows = sample.raw_of_channel(spark, sf_dir, name, lines.orderBy(sample.line_raw_id()))
+        order = F.col("order_id") if "order_id" in rows.columns else channels.CHANNELS[name].order_key()
+        rows = rows.withColumn("_order", order.cast("bigint"))
+        raw[name] = (rows if orders is None else rows.where(orders)).drop("_order")
+    raw["mercadolibre"] = raw["mercadolibre"].orderBy("raw_id")
     write_wrapped_json(raw["shopify"], sources["shopify"], "orders")
     write_wrapped_json(raw["mercadolibre"], sources["mercadolibre"], "results")
     write_tsv(raw["amazon"], sources["amazon"], drops.AMAZON_HEADERS)
     write_tsv(raw["tiendanube"], sources["tiendanube"], drops.TIENDANUBE_HEADERS)
-    sales = dedupe_by_key(sample.raw_pos(spark, sf_dir, "pos"), ["venta_id"], ["raw_id"])
+    sales = dedupe_by_key(sample.raw_of_channel(spark, sf_dir, "pos", lines), ["venta_id"], ["raw_id"])
     sales = sales if till is None else sales.where(till)
     sales.select(*schemas.POS_VENTAS.names).write.parquet(sources["pos"])
     return sources
@@ -1084,7 +1093,7 @@ RUN_AT = datetime(2002, 1, 1)
 def daily_store(spark: SparkSession, sf_dir: str) -> daily.Store:
     """Drops of all channels written, reference tables seeded, the daily job run."""
     base = scratch_dir(spark, "daily")
-    sources = _write_drops(spark, sf_dir, f"{base}/drops")
+    sources = _write_drops(spark, sf_dir, f"{base}/drops", sample.dealt_lines(spark, sf_dir))
     store = _seeded_store(spark, sf_dir, f"{base}/warehouse")
     daily.run(store, sources, as_of=RUN_AT)
     return store
@@ -1100,8 +1109,9 @@ def two_day_store(spark: SparkSession, sf_dir: str) -> daily.Store:
     store = _seeded_store(spark, sf_dir, f"{base}/warehouse")
     early = F.col("fecha_venta") < F.lit(datetime(1995, 6, 1))
     days = [(F.col("_order") % 2 == 1, early), (F.col("_order") % 4 != 1, None)]
+    lines = sample.dealt_lines(spark, sf_dir)
     for day, (orders, till) in enumerate(days):
-        sources = _write_drops(spark, sf_dir, f"{base}/day{day}", orders, till)
+        sources = _write_drops(spark, sf_dir, f"{base}/day{day}", lines, orders, till)
         daily.run(store, sources, as_of=RUN_AT)
     return store
 

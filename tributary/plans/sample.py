@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..sources.landing import LANDING
+from ..storage import stored
 
 # Channel by order priority, and how the channel words a paid and a pending order.
 PRIORITY_CHANNEL = {
@@ -145,6 +146,24 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(bought, lines.l_orderkey == orders.o_orderkey)
 
 
+# What the builders of raw lines read, and the column that the stored lines are parted by.
+LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate", "o_orderdate", "o_orderstatus", "o_orderpriority", "c_name",
+]
+DEALT = "_channel"
+
+
+def dealt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`order_lines` of the channels that are made of lines, joined and stored once, parted by channel.
+
+    For those who build several channels: each reads its own lines, and not all of them.
+    """
+    lines = order_lines(spark, sf_dir).withColumn(DEALT, channel_of(F.col("o_orderpriority")))
+    made_of_lines = [name for name in RAW if name != "mercadolibre"]
+    return stored(lines.where(F.col(DEALT).isin(made_of_lines)).select(*LINE_COLUMNS, DEALT), "lines", [DEALT])
+
+
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines of all channels in the extraction contract, texts still dressed."""
     lines = lineitem(spark, sf_dir)
@@ -235,10 +254,18 @@ def _landed(rows: DataFrame, columns: list[str], raw_id: Column) -> DataFrame:
 def _only(lines: DataFrame, channel: str | None) -> DataFrame:
     if channel is None:
         return lines
-    return lines.where(channel_of(F.col("o_orderpriority")) == channel)
+    own = F.col(DEALT) if DEALT in lines.columns else channel_of(F.col("o_orderpriority"))
+    return lines.where(own == channel)
+
 
+def _lines(spark: SparkSession, sf_dir: str, channel: str | None, lines: DataFrame | None) -> DataFrame:
+    """The lines of a channel, of ``lines`` if they are given."""
+    return _only(order_lines(spark, sf_dir) if lines is None else lines, channel)
 
-def raw_amazon(spark: SparkSession, sf_dir: str, channel: str | None = None) -> DataFrame:
+
+def raw_amazon(
+    spark: SparkSession, sf_dir: str, channel: str | None = None, lines: DataFrame | None = None
+) -> DataFrame:
     """Report lines, all text; ``channel`` takes that channel's orders only."""
     mine = F.lit("amazon")
     moment = F.concat(line_wall_time(), F.lit("-05:00"))
@@ -259,11 +286,13 @@ def raw_amazon(spark: SparkSession, sf_dir: str, channel: str | None = None) ->
         "ship_city": F.lit(None).cast("string"),
         "ship_state": F.lit(None).cast("string"),
     }
-    lines = _only(order_lines(spark, sf_dir), channel).withColumns(columns)
-    return _landed(lines, schemas.AMAZON_SHIPMENTS.names, line_raw_id())
+    rows = _lines(spark, sf_dir, channel, lines).withColumns(columns)
+    return _landed(rows, schemas.AMAZON_SHIPMENTS.names, line_raw_id())
 
 
-def raw_tiendanube(spark: SparkSession, sf_dir: str, channel: str | None = None) -> DataFrame:
+def raw_tiendanube(
+    spark: SparkSession, sf_dir: str, channel: str | None = None, lines: DataFrame | None = None
+) -> DataFrame:
     mine = F.lit("tiendanube")
     columns = {
         "n_orden": F.col("l_orderkey").cast("string"),
@@ -280,11 +309,13 @@ def raw_tiendanube(spark: SparkSession, sf_dir: str, channel: str | None = None)
         "subtotal": money_text(price() * signed_quantity()),
         "moneda": F.when(F.col("l_linestatus") == "F", "PEN"),
     }
-    lines = _only(order_lines(spark, sf_dir), channel).withColumns(columns)
-    return _landed(lines, schemas.TIENDANUBE_VENTAS.names, line_raw_id())
+    rows = _lines(spark, sf_dir, channel, lines).withColumns(columns)
+    return _landed(rows, schemas.TIENDANUBE_VENTAS.names, line_raw_id())
 
 
-def raw_pos(spark: SparkSession, sf_dir: str, channel: str | None = None) -> DataFrame:
+def raw_pos(
+    spark: SparkSession, sf_dir: str, channel: str | None = None, lines: DataFrame | None = None
+) -> DataFrame:
     """Till transactions: one per order and line number, the last state landed wins."""
     mine = F.lit("pos")
     columns = {
@@ -301,15 +332,17 @@ def raw_pos(spark: SparkSession, sf_dir: str, channel: str | None = None) -> Dat
         "medio_pago": raw_status(mine),
         "cliente_doc": F.lit(None).cast("string"),
     }
-    lines = _only(order_lines(spark, sf_dir), channel).withColumns(columns)
-    return _landed(lines, schemas.POS_VENTAS.names, line_raw_id())
+    rows = _lines(spark, sf_dir, channel, lines).withColumns(columns)
+    return _landed(rows, schemas.POS_VENTAS.names, line_raw_id())
 
 
 def _json(document: Column, keep_nulls: bool = True) -> Column:
     return F.to_json(document, {"ignoreNullFields": str(not keep_nulls).lower()})
 
 
-def shopify_documents(spark: SparkSession, sf_dir: str, channel: str | None = None) -> DataFrame:
+def shopify_documents(
+    spark: SparkSession, sf_dir: str, channel: str | None = None, lines: DataFrame | None = None
+) -> DataFrame:
     """One order snapshot per line: the line, and a gift line on unreturned ones.
 
     Finished lines leave out the currency key, others give it; orders in state P
@@ -333,19 +366,19 @@ def shopify_documents(spark: SparkSession, sf_dir: str, channel: str | None = No
         (price() * F.col("l_discount").cast("decimal(4,2)")).cast("string").alias("total_discount"),
         (price() * signed_quantity()).cast("string").alias("line_total"),
     )
-    lines = F.when(F.col("l_returnflag") == "N", F.array(sold, gift)).otherwise(F.array(sold))
+    items = F.when(F.col("l_returnflag") == "N", F.array(sold, gift)).otherwise(F.array(sold))
     base = [
         F.col("l_orderkey").alias("id"),
         F.concat(line_wall_time(), F.lit("-05:00")).alias("created_at"),
         raw_status(F.lit("shopify")).alias("financial_status"),
         F.struct(email().alias("email")).alias("customer"),
-        lines.alias("line_items"),
+        items.alias("line_items"),
     ]
     currency = F.when(F.col("o_orderstatus") != "P", "USD").alias("currency")
     payload = F.when(F.col("l_linestatus") == "F", _json(F.struct(*base))).otherwise(
         _json(F.struct(*base, currency))
     )
-    rows = _only(order_lines(spark, sf_dir), channel).withColumns(
+    rows = _lines(spark, sf_dir, channel, lines).withColumns(
         {"order_id": F.col("l_orderkey"), "payload": payload}
     )
     return _landed(rows, schemas.JSON_ORDERS.names, line_raw_id())
@@ -388,6 +421,12 @@ def mercadolibre_documents(
     return _landed(rows, schemas.JSON_ORDERS.names, F.col("o_orderkey"))
 
 
+def raw_of_channel(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame) -> DataFrame:
+    """Raw rows of a channel's own orders, of :func:`dealt_lines` where it is made of lines."""
+    given = {} if name == "mercadolibre" else {"lines": lines}
+    return RAW[name](spark, sf_dir, name, **given)
+
+
 RAW = {
     "shopify": shopify_documents,
     "mercadolibre": mercadolibre_documents,

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from .session import scratch_dir
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to a fresh shared folder and read again, so its plan ends here."""
+def stored(df: DataFrame, label: str, parts: Sequence[str] = ()) -> DataFrame:
+    """``df`` written to a fresh shared folder, parted by ``parts``, and read again, so its plan ends here."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*parts).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
