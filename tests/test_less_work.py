@@ -73,9 +73,10 @@ def test_new_ids_are_told_from_keys(spark, table, tmp_path, monkeypatch):
     labels.clear()
     assert daily.load_facts(store, make([("a", 1), ("b", 1), (None, 1)])) == 3
     held = {r.platform_order_id: r.sale_id for r in store.read("core/fact_sales").collect()}
-    assert sorted(held.values()) == [1, 2, 3] and labels == ["keys"]  # no fact row is stored before it has its id
+    assert sorted(held.values()) == [1, 2, 3] and labels == ["unnumbered", "keys"]
     assert daily.load_facts(store, make([("b", 2), ("c", 2), ("c", 3), (None, 2)])) == 4
     after = {r.platform_order_id: (r.sale_id, r.quantity) for r in store.read("core/fact_sales").collect()}
     assert after == {"a": (held["a"], 1), "b": (held["b"], 2), None: (held[None], 2), "c": (4, 3)}
     assert daily.notes(spark, store.path("core/fact_sales"))["top_sale_id"] == 4
+    assert labels[2:] == ["unnumbered", "keys", "new-keys"]  # of the rows, the ids see the keys alone
     assert daily.load_facts(store, make([])) == 0
